@@ -46,15 +46,8 @@ def int_flights_weather(
     )
 
 
-_WEATHER = ["has_weather", "weather_condition", "temperature_c", "precipitation_mm", "snowfall_cm", "wind_gusts_kmh"]
-
-
 def fct_flights(flights: DataFrame) -> DataFrame:
-    """The fact table: outcomes, delay causes and origin weather per scheduled flight.
-
-    Fed with flights that were not matched to weather it leaves the weather columns
-    out, which spares marts that never look at weather the join.
-    """
+    """The fact table: outcomes, delay causes and origin weather per scheduled flight."""
     cancelled, diverted = F.col("is_cancelled"), F.col("is_diverted")
     return flights.select(
         "flight_id",
@@ -81,7 +74,12 @@ def fct_flights(flights: DataFrame) -> DataFrame:
         "taxi_in_min",
         "air_time_min",
         *[F.coalesce(c, F.lit(0.0)).alias(c) for c in DELAY_CAUSES.values()],
-        *[c for c in _WEATHER if c in flights.columns],
+        "has_weather",
+        "weather_condition",
+        "temperature_c",
+        "precipitation_mm",
+        "snowfall_cm",
+        "wind_gusts_kmh",
     )
 
 

@@ -9,10 +9,9 @@ from tarmac.functions import rounded
 from tarmac.operators import (
     accepted_range, accepted_values, not_null, orphans, same_row_count, summary, unique,
 )
-from tarmac.plans import marts, quality, serving, star
+from tarmac.plans import marts, quality, serving
 from tarmac.registry.binding import Tables
 from tarmac.registry.book import query
-from tarmac.sources.lake import staged
 
 MONTH = "2024-02"  # the later of the two months the bound flights fall into
 FLIGHT = """flight_date, carrier_code, flight_number, tail_number, origin, origin_city, origin_state, dest, dest_city, dest_state,
@@ -38,12 +37,12 @@ def m02_stg_weather(t: Tables) -> DataFrame:
 @query(f"""select {FLIGHT}, temperature_c, precipitation_mm, snowfall_cm, wind_speed_kmh, wind_gusts_kmh, cloud_cover_pct,
     has_weather, weather_condition from silver""")
 def m03_int_flights_weather(t: Tables) -> DataFrame:
-    return t.silver()
+    return t.int_flights_weather()
 
 
 @query("select * exclude (ym, on_time) from facts")
 def m04_fct_flights(t: Tables) -> DataFrame:
-    return t.facts(weather=True)
+    return t.facts()
 
 
 @query("select * from airports")
@@ -74,28 +73,9 @@ def m09_mart_carrier_monthly(t: Tables) -> DataFrame:
     return marts.mart_carrier_monthly(t.facts(), t.carriers())
 
 
-def _airport_daily(t: Tables) -> DataFrame:
-    """Facts and airport names from one written pass over the flights.
-
-    The mart needs the flights twice, grouped by origin and as either end; writing
-    the few columns once saves the second de-duplication.
-    """
-    flights = t.silver().select(
-        "flight_date", "origin", "origin_city", "origin_state", "dest", "dest_city", "dest_state",
-        "is_cancelled", "dep_delay_min", "taxi_out_min", "precipitation_mm", "snowfall_cm", "wind_gusts_kmh",
-    )
-    once = staged(flights, "airport-days")
-    facts = once.select(
-        "flight_date", F.col("origin").alias("origin_code"), "is_cancelled", "dep_delay_min", "taxi_out_min",
-        "precipitation_mm", "snowfall_cm", "wind_gusts_kmh",
-        F.when(~F.col("is_cancelled"), F.col("dep_delay_min") >= 15).alias("is_dep_delayed"),
-    )
-    return marts.mart_airport_daily(facts, star.finish_airports(star.airports_seen(once), t.hubs()))
-
-
 @query("select * from airport_day")
 def m10_mart_airport_daily(t: Tables) -> DataFrame:
-    return _airport_daily(t)
+    return marts.mart_airport_daily(t.facts(), t.dim_airport())
 
 
 @query("select * from route_month")
@@ -110,7 +90,7 @@ def m12_mart_delay_causes_monthly(t: Tables) -> DataFrame:
 
 @query("select * from impact")
 def m13_mart_weather_impact(t: Tables) -> DataFrame:
-    return marts.mart_weather_impact(t.facts(weather=True))
+    return marts.mart_weather_impact(t.facts())
 
 
 @query("select * from hour_profile")
@@ -172,19 +152,19 @@ _ONE_PLACE = """case when abs(dep_delay_pct * 10 - trunc(dep_delay_pct * 10)) =
 def d07_hub_month(t: Tables) -> DataFrame:
     """Six decimals: the order of a floating-point sum shows beyond them."""
     rates = {c: rounded(F.col(c), 6) for c in ("dep_delay_pct", "cancellation_pct")}
-    return serving.hub_month(_airport_daily(t), MONTH).withColumns(rates)
+    return serving.hub_month(m10_mart_airport_daily(t), MONTH).withColumns(rates)
 
 
 @query(f"""{_HUBS} select airport_code, city_name, departures, {_ONE_PLACE} as dep_delay_pct
     from (from hub order by hub.dep_delay_pct desc nulls last, airport_code limit 10)""")
 def d08_most_delayed_hubs(t: Tables) -> DataFrame:
-    return serving.most_delayed_hubs(serving.hub_month(_airport_daily(t), MONTH))
+    return serving.most_delayed_hubs(serving.hub_month(m10_mart_airport_daily(t), MONTH))
 
 
 @query(f"""{_HUBS} select airport_code, city_name, departures, {_ONE_PLACE} as dep_delay_pct
     from (from hub order by hub.dep_delay_pct nulls last, airport_code limit 10)""")
 def d09_most_punctual_hubs(t: Tables) -> DataFrame:
-    return serving.most_punctual_hubs(serving.hub_month(_airport_daily(t), MONTH))
+    return serving.most_punctual_hubs(serving.hub_month(m10_mart_airport_daily(t), MONTH))
 
 
 @query("select * from impact where airport_code = 'ALL HUBS'")
@@ -229,7 +209,7 @@ def d14_least_punctual_busy_routes(t: Tables) -> DataFrame:
 
 @query("select flight_id, origin, dest from flights where tail_number is null")
 def q01_not_null(t: Tables) -> DataFrame:
-    return not_null(t.stg_flights(), "tail_number").select("flight_id", "origin", "dest")
+    return not_null(t.silver(), "tail_number").select("flight_id", "origin", "dest")
 
 
 @query("""select flight_date, flight_number, carrier_code, origin, dest, crs_dep_time, count(*) as rows from b_flights
@@ -244,12 +224,12 @@ def q02_unique(t: Tables) -> DataFrame:
 @query("select flight_id, carrier_code from flights where carrier_code not in (select carrier_code from seed_carriers where carrier_type <> 'Regional')")
 def q03_accepted_values(t: Tables) -> DataFrame:
     main = ["AA", "DL", "UA", "WN", "AS", "B6", "NK", "F9", "G4", "HA", "SY", "MX"]
-    return accepted_values(t.stg_flights(), "carrier_code", main).select("flight_id", "carrier_code")
+    return accepted_values(t.silver(), "carrier_code", main).select("flight_id", "carrier_code")
 
 
 @query("select flight_id, arr_delay_min from flights where arr_delay_min < -60 or arr_delay_min > 45")
 def q04_accepted_range(t: Tables) -> DataFrame:
-    return accepted_range(t.stg_flights(), "arr_delay_min", -60, 45).select("flight_id", "arr_delay_min")
+    return accepted_range(t.silver(), "arr_delay_min", -60, 45).select("flight_id", "arr_delay_min")
 
 
 @query("""select carrier_code, count(*) as rows from facts where carrier_code not in (select carrier_code from seed_carriers) group by 1""")
@@ -271,7 +251,7 @@ def q07_non_negative_causes(t: Tables) -> DataFrame:
 @query("""select (select count(*) from b_flights) as left_rows, (select count(*) from facts) as right_rows""")
 def q08_same_row_count(t: Tables) -> DataFrame:
     """Bronze against the fact table: they differ by the re-ingested copies."""
-    return same_row_count(t.bronze_flights(), t.facts(weather=True))
+    return same_row_count(t.bronze_flights(), t.facts())
 
 
 @query("""select count(*) as rows, count(*) filter (where not (crs_dep_time between 0 and 2400) or not (dep_time between 0 and 2400)
@@ -286,25 +266,25 @@ def q10_seed_coordinates(t: Tables) -> DataFrame:
     return quality.seed_summary(t.hubs())
 
 
-@query("""select airport_code, date_trunc('month', weather_hour)::date as month_start, count(*) as rows,
-    count(distinct weather_hour) as hours, day(last_day(date_trunc('month', weather_hour)::date)) * 24 as expected
-    from weather where airport_code in (select airport_code from seed_hubs) group by all having rows <> expected or hours <> expected""")
+@query("""select *, day(last_day(month_start)) * 24 as expected from
+    (select airport_code, date_trunc('month', weather_hour)::date as month_start, count(*) as rows, count(distinct weather_hour) as hours
+     from weather where airport_code in (select airport_code from seed_hubs) group by 1, 2)
+    where rows <> day(last_day(month_start)) * 24 or hours <> rows""")
 def q11_incomplete_weather(t: Tables) -> DataFrame:
     return quality.incomplete_weather(t.stg_weather(), t.hubs())
 
 
-def _written(t: Tables) -> dict[str, DataFrame]:
-    """Silver written once; facts, dimensions and marts are light plans over it."""
-    silver = staged(t.silver(), "checks")
-    facts = star.fct_flights(silver)
+def _checked_tables(t: Tables) -> dict[str, DataFrame]:
+    """Written bronze and silver; facts, dimensions and marts are light plans over them."""
+    facts = t.facts()
     return {
         "bronze_flights": t.bronze_flights(),
-        "stg_flights": silver,
+        "stg_flights": t.silver(),
         "stg_weather": t.stg_weather(),
         "fct_flights": facts,
-        "dim_carrier": star.dim_carrier(silver, t.carriers()),
-        "dim_airport": star.dim_airport(silver, t.hubs()),
-        "dim_date": star.dim_date(silver),
+        "dim_carrier": t.dim_carrier(),
+        "dim_airport": t.dim_airport(),
+        "dim_date": t.dim_date(),
         "mart_kpis_monthly": marts.mart_kpis_monthly(facts),
         "mart_carrier_monthly": marts.mart_carrier_monthly(facts, t.carriers()),
         "mart_delay_causes_monthly": marts.mart_delay_causes_monthly(facts),
@@ -357,4 +337,4 @@ def _suite_sql() -> str:
 
 @query(_suite_sql())
 def q12_quality_report(t: Tables) -> DataFrame:
-    return quality.report(_written(t))
+    return quality.report(_checked_tables(t))

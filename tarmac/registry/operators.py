@@ -81,7 +81,7 @@ def p12_date_key(t: Tables) -> DataFrame:
 @query("""select case cancellation_code when 'A' then 'Carrier' when 'B' then 'Weather' when 'C' then 'National Air System' when 'D' then 'Security' end as reason,
     origin || '-' || dest as route, count(*) as rows from flights group by all""")
 def p14_reason_and_route(t: Tables) -> DataFrame:
-    flights = t.stg_flights().groupBy("cancellation_code", "origin", "dest").agg(F.count(F.lit(1)).alias("n"))
+    flights = t.silver().groupBy("cancellation_code", "origin", "dest").agg(F.count(F.lit(1)).alias("n"))
     named = flights.select(
         fn.cancellation_reason(F.col("cancellation_code")).alias("reason"),
         fn.route_label(F.col("origin"), F.col("dest")).alias("route"),
@@ -94,7 +94,7 @@ def p14_reason_and_route(t: Tables) -> DataFrame:
     if(is_cancelled or is_diverted, null, arr_delay_min >= 15) as is_arr_delayed, count(*) as rows from flights group by all""")
 def p15_outcome_flags(t: Tables) -> DataFrame:
     gone, diverted = F.col("is_cancelled"), F.col("is_diverted")
-    return t.stg_flights().groupBy(
+    return t.silver().groupBy(
         "is_cancelled", "is_diverted",
         (F.col("dep_delay_min") >= 15).alias("behind"),
         fn.is_late(F.col("dep_delay_min"), gone).alias("is_dep_delayed"),
@@ -300,7 +300,7 @@ def r02_pivot(t: Tables) -> DataFrame:
 
 
 @query("""select l_orderkey, l_linenumber, l_partkey, l_suppkey, round(l_extendedprice / 7, 2) + 0.0 as two, round(l_extendedprice / 7, 0) + 0.0 as zero,
-    round(0.005 * l_partkey + 1, 2) + 0.0 as halves from lineitem""")
+    round(l_partkey * 0.005::double + 1, 2) + 0.0 as halves from lineitem""")
 def x01_rounded(t: Tables) -> DataFrame:
     seventh = F.col("l_extendedprice") / 7
     return t["lineitem"].select(
@@ -350,7 +350,7 @@ def x10_least_and_division(t: Tables) -> DataFrame:
 @query("""select flight_date, count(*) as rows, count(tail_number) as tails, sum(distance_miles) as miles, max(_ingested_at) as last_ingest
     from flights group by 1""")
 def s09_silver_by_day(t: Tables) -> DataFrame:
-    return t.stg_flights().groupBy("flight_date").agg(
+    return t.silver().groupBy("flight_date").agg(
         F.count(F.lit(1)).alias("rows"), F.count("tail_number").alias("tails"),
         F.sum("distance_miles").alias("miles"), F.max("_ingested_at").alias("last_ingest"),
     )

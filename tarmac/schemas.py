@@ -4,6 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+_TYPES = {
+    "string": T.StringType(),
+    "smallint": T.ShortType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "timestamp": T.TimestampType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
+
+
+def _schema(text: str) -> T.StructType:
+    """'name type, ...' to a schema, without needing a session."""
+    fields = [part.split() for part in text.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
+
+
 # Column of the monthly extract, bronze name, bronze type, in bronze order.
 _EXTRACT = """
 FlightDate                       flight_date          string
@@ -55,7 +71,7 @@ NULL_TOKENS = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
-BRONZE_FLIGHTS = T.StructType.fromDDL(
+BRONZE_FLIGHTS = _schema(
     ", ".join(f"{name} {kind}" for _, name, kind in EXTRACT_COLUMNS)
     + ", _ingested_at timestamp, _source_file string, year int, month int"
 )
@@ -77,14 +93,14 @@ WEATHER_PAYLOAD = (
     + ">>>"
 )
 
-BRONZE_WEATHER = T.StructType.fromDDL(
+BRONZE_WEATHER = _schema(
     "airport_code string, weather_time timestamp_ntz, "
     + ", ".join(f"{name} {kind}" for name, kind in WEATHER_VARIABLES.items())
     + ", timezone string, _ingested_at timestamp, year int, month int"
 )
 
-CARRIERS = T.StructType.fromDDL("carrier_code string, carrier_name string, carrier_type string")
-HUBS = T.StructType.fromDDL(
+CARRIERS = _schema("carrier_code string, carrier_name string, carrier_type string")
+HUBS = _schema(
     "airport_code string, airport_name string, city string, state string, latitude double, longitude double"
 )
 

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarmac.schemas import BRONZE_FLIGHTS, BRONZE_WEATHER
-from tarmac.session import scratch_path
 
 MARTS = [
     "mart_kpis_monthly", "mart_carrier_monthly", "mart_airport_daily", "mart_route_monthly",
@@ -112,10 +111,3 @@ def read_table(spark: SparkSession, lake: str, layer: str, name: str) -> DataFra
 def read_marts(spark: SparkSession, lake: str) -> dict[str, DataFrame]:
     """The seven marts by name."""
     return {name: read_table(spark, lake, "gold", name) for name in MARTS}
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back, for plans that use it twice."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
