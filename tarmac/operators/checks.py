@@ -54,9 +54,11 @@ def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> D
 
 def same_row_count(left: DataFrame, right: DataFrame) -> DataFrame:
     """One row with both counts where they differ, none where they agree."""
-    a = left.agg(F.count(F.lit(1)).alias("left_rows"))
-    b = right.agg(F.count(F.lit(1)).alias("right_rows"))
-    return a.crossJoin(b).filter(F.col("left_rows") != F.col("right_rows"))
+    rows = F.count(F.lit(1))
+    a = left.agg(rows.alias("left_rows"), F.lit(None).cast("long").alias("right_rows"))
+    b = right.agg(F.lit(None).cast("long").alias("left_rows"), rows.alias("right_rows"))
+    both = a.unionByName(b).agg(F.max("left_rows").alias("left_rows"), F.max("right_rows").alias("right_rows"))
+    return both.filter(F.col("left_rows") != F.col("right_rows"))
 
 
 def summary(df: DataFrame, violation: Column) -> DataFrame:

@@ -16,7 +16,7 @@ def fits_broadcast(keys: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
 
     Runs a job over the key columns alone; repeats are combined before the shuffle.
     """
-    return keys.distinct().limit(limit + 1).count() <= limit
+    return keys.distinct().count() <= limit
 
 
 def join_lookup(

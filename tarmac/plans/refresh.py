@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
@@ -99,30 +100,41 @@ def build_silver(lake: Lake) -> None:
     lake.write(flights, "silver", "int_flights_weather", "flight_date")
 
 
+def _together(*steps: Callable[[], None]) -> None:
+    """Independent writes at the same time, so the tail of one job overlaps the next."""
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        for done in [pool.submit(step) for step in steps]:
+            done.result()
+
+
 def build_core(lake: Lake, carriers: DataFrame, hubs: DataFrame) -> None:
     silver = lake.read("silver", "int_flights_weather", touched=True)
-    lake.write(star.fct_flights(silver), "gold", "fct_flights", "flight_date")
     dated = silver.withColumn("_month", F.trunc("flight_date", "month"))
-    lake.finish("dim_airport", star.airports_seen(dated, "_month"), lambda p: star.finish_airports(p, hubs))
-    lake.finish(
-        "dim_carrier", dated.select("_month", "carrier_code").distinct(), lambda p: star.dim_carrier(p, carriers)
+    codes = dated.select("_month", "carrier_code").distinct()
+    _together(
+        lambda: lake.write(star.fct_flights(silver), "gold", "fct_flights", "flight_date"),
+        lambda: lake.finish(
+            "dim_airport", star.airports_seen(dated, "_month"), lambda p: star.finish_airports(p, hubs)),
+        lambda: lake.finish("dim_carrier", codes, lambda p: star.dim_carrier(p, carriers)),
+        lambda: lake.finish("dim_date", star.dates_seen(dated, "_month"), star.finish_dates),
     )
-    lake.finish("dim_date", star.dates_seen(dated, "_month"), star.finish_dates)
 
 
 def build_marts(lake: Lake, carriers: DataFrame) -> None:
     facts = lake.read("gold", "fct_flights", touched=True)
     airports = lake.read("gold", "dim_airport")
-    lake.finish("mart_kpis_monthly", marts.kpi_months(facts), marts.labelled)
-    lake.finish("mart_carrier_monthly", marts.carrier_months(facts), lambda p: marts.finish_carriers(p, carriers))
-    lake.finish(
-        "mart_airport_daily", marts.airport_days(facts), lambda p: marts.finish_airport_days(p, airports),
-        day="flight_date",
+    _together(
+        lambda: lake.finish("mart_kpis_monthly", marts.kpi_months(facts), marts.labelled),
+        lambda: lake.finish(
+            "mart_carrier_monthly", marts.carrier_months(facts), lambda p: marts.finish_carriers(p, carriers)),
+        lambda: lake.finish(
+            "mart_airport_daily", marts.airport_days(facts),
+            lambda p: marts.finish_airport_days(p, airports), day="flight_date"),
+        lambda: lake.finish("mart_route_monthly", marts.route_months(facts), marts.finish_routes),
+        lambda: lake.finish("mart_delay_causes_monthly", marts.cause_months(facts), marts.finish_causes),
+        lambda: lake.finish("mart_weather_impact", marts.weather_impact_partials(facts), marts.finish_weather_impact),
+        lambda: lake.finish("mart_hourly_profile", marts.hourly_profile_partials(facts), marts.finish_hourly_profile),
     )
-    lake.finish("mart_route_monthly", marts.route_months(facts), marts.finish_routes)
-    lake.finish("mart_delay_causes_monthly", marts.cause_months(facts), marts.finish_causes)
-    lake.finish("mart_weather_impact", marts.weather_impact_partials(facts), marts.finish_weather_impact)
-    lake.finish("mart_hourly_profile", marts.hourly_profile_partials(facts), marts.finish_hourly_profile)
 
 
 def has_strays(bronze: DataFrame) -> bool:
@@ -132,16 +144,31 @@ def has_strays(bronze: DataFrame) -> bool:
     return not bronze.filter(outside).limit(1).isEmpty()
 
 
+def dirty_months(spark: SparkSession, root: str) -> list[tuple[int, int]] | None:
+    """Months whose bronze is newer than gold; None before the first complete build."""
+    try:
+        return [(r.year, r.month) for r in read_table(spark, root, "state", "dirty_months").collect()]
+    except AnalysisException:
+        return None
+
+
+def set_dirty_months(spark: SparkSession, root: str, months: Months) -> None:
+    """Remember the months to rebuild, so that a run that breaks off is made up for."""
+    rows = spark.createDataFrame(list(months), "year int, month int")
+    rows.write.mode("overwrite").parquet(table_path(root, "state", "dirty_months"))
+
+
 def build(
     spark: SparkSession, root: str, months: Months | None = None,
-    carriers: DataFrame | None = None, hubs: DataFrame | None = None,
+    carriers: DataFrame | None = None, hubs: DataFrame | None = None, checked: bool = False,
 ) -> None:
     """Silver, core and marts from bronze: of the given months, or of all of them.
 
-    Months are rebuilt alone only where that is exact: all partials exist and no file
-    holds flights of another month.
+    Months are rebuilt alone only where that is exact: a complete build came before and
+    no file holds flights of another month. Repeating a build that broke off is safe.
     """
-    if months is not None and (not _built(spark, root) or has_strays(read_bronze(spark, root, "flights"))):
+    dirty = dirty_months(spark, root)
+    if months is not None and (dirty is None or has_strays(read_bronze(spark, root, "flights"))):
         months = None
     lake = Lake(spark, root, months)
     carriers = seeds.carriers(spark) if carriers is None else carriers
@@ -149,15 +176,10 @@ def build(
     build_silver(lake)
     build_core(lake, carriers, hubs)
     build_marts(lake, carriers)
-
-
-def _built(spark: SparkSession, root: str) -> bool:
-    """The last mart a build finishes is there."""
-    try:
-        read_table(spark, root, "gold", MARTS[-1])
-        return True
-    except AnalysisException:
-        return False
+    if checked:
+        check(spark, root)
+    left = [] if months is None else [m for m in dirty if m not in set(months)]
+    set_dirty_months(spark, root, left)
 
 
 def lake_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -205,10 +227,13 @@ def refresh(
         for folder, name in ((extracts, "flights"), (payloads, "weather"))
         for f in ingest.pending_files(spark, folder, root, name, window, force)
     })
+    dirty = dirty_months(spark, root)
+    todo = None if dirty is None else sorted({*dirty, *touched})
+    if todo:
+        set_dirty_months(spark, root, todo)
     rows = ingest.ingest_flights(spark, extracts, root, window, force)
     ingest.ingest_weather(spark, payloads, root, window, force=force)
     log.info("new flight rows: %d, months touched: %s", rows, touched)
-    if transform and (touched or not _built(spark, root)):
-        build(spark, root, touched)
-        check(spark, root)
+    if transform and (todo is None or todo):
+        build(spark, root, todo, checked=True)
     return rows

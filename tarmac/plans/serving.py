@@ -21,6 +21,15 @@ def of_month(mart: DataFrame, month: str) -> DataFrame:
     return mart.filter(F.col("year_month") == month)
 
 
+def facts_of_month(facts: DataFrame, month: str) -> DataFrame:
+    """Facts of one month as a date range, which reaches the scan.
+
+    A month-keyed mart of these facts equals that month of the whole mart.
+    """
+    first = F.to_date(F.lit(f"{month}-01"))
+    return facts.filter((F.col("flight_date") >= first) & (F.col("flight_date") < F.add_months(first, 1)))
+
+
 def header(kpis: DataFrame) -> DataFrame:
     return kpis.agg(
         F.sum("flights").alias("total_flights"),
@@ -66,10 +75,7 @@ def airline_ranking(carriers: DataFrame, month: str) -> DataFrame:
 
 def hub_month(airport_daily: DataFrame, month: str) -> DataFrame:
     """Daily hub rows of a month rolled up, daily rates weighted by departures."""
-    first = F.to_date(F.lit(f"{month}-01"))
-    days = airport_daily.filter(
-        (F.col("flight_date") >= first) & (F.col("flight_date") < F.add_months(first, 1)) & F.col("is_hub")
-    )
+    days = facts_of_month(airport_daily, month).filter("is_hub")
     return days.groupBy("airport_code", "airport_name", "city_name", "latitude", "longitude", "is_hub").agg(
         F.sum("departures").alias("departures"),
         weighted_mean(F.col("dep_delay_pct"), F.col("departures")).alias("dep_delay_pct"),

@@ -108,11 +108,15 @@ def airports_seen(flights: DataFrame, *by: str) -> DataFrame:
         {**kept, "airport_code": "origin", "city_name": "origin_city", "state": "origin_state"},
         {**kept, "airport_code": "dest", "city_name": "dest_city", "state": "dest_state"},
     )
-    return _one_per_airport(ends, *by)
+    return _one_per_airport(ends.distinct(), *by)
 
 
 def _one_per_airport(ends: DataFrame, *by: str) -> DataFrame:
-    """The smallest city and state: stable, and mergeable over months."""
+    """The smallest city and state: stable, and mergeable over months.
+
+    Minima of text are aggregated by sorting, so flights are made distinct first: that
+    hashes, and leaves a handful of rows per task to sort.
+    """
     return ends.groupBy(*by, "airport_code").agg(
         F.min("city_name").alias("city_name"), F.min("state").alias("state")
     )

@@ -44,27 +44,34 @@ class Tables:
         files = self.spark.read.format("binaryFile").load([f"{self.sf_dir}/{n}.parquet" for n in _SOURCES])
         return tuple(sorted(files.select("path", "length", F.unix_micros("modificationTime")).collect()))
 
-    def _once(self, name: str, build: Callable[[], DataFrame], *by: str) -> DataFrame:
+    def once(self, name: str, write: Callable[[], str]) -> str:
+        """The path ``write`` wrote for these source files, on first use."""
+        key = (self.spark.sparkContext.applicationId, self._stamp(), name)
+        if key not in _WRITTEN:
+            _WRITTEN[key] = write()
+        return _WRITTEN[key]
+
+    def _table(self, name: str, build: Callable[[], DataFrame], *by: str) -> DataFrame:
         """The table ``name``, written on first use.
 
         The bound flights fall into two months, so every task writes at most two files
         and no shuffle is spent on the layout.
         """
-        key = (self.spark.sparkContext.applicationId, self._stamp(), name)
-        if key not in _WRITTEN:
+        def write() -> str:
             path = scratch_path(self.spark, name)
             build().write.partitionBy(*by).parquet(path)
-            _WRITTEN[key] = path
-        return self.spark.read.parquet(_WRITTEN[key])
+            return path
+
+        return self.spark.read.parquet(self.once(name, write))
 
     def bronze_flights(self) -> DataFrame:
-        return self._once("bronze-flights", self._dated_flights, "year", "month").drop("year", "month")
+        return self._table("bronze-flights", self._dated_flights, "year", "month").drop("year", "month")
 
     def bronze_weather(self) -> DataFrame:
-        return self._once("bronze-weather", self.derive_weather)
+        return self._table("bronze-weather", self.derive_weather)
 
     def silver(self) -> DataFrame:
-        return self._once("silver", self.int_flights_weather)
+        return self._table("silver", self.int_flights_weather)
 
     # --- bronze from the driver's tables ----------------------------------------------------
 

@@ -188,6 +188,10 @@ def s04_bronze_partitions(t: Tables) -> DataFrame:
 
 def _built_lake(t: Tables) -> str:
     """A lake built in two refreshes: January alone, then February added to it."""
+    return t.once("lake", lambda: _build_lake(t))
+
+
+def _build_lake(t: Tables) -> str:
     lake = scratch_path(t.spark, "lake")
     write_month_partitions(_lake_flights(t, 1), bronze_path(lake, "flights"))
     write_month_partitions(_lake_weather(t), bronze_path(lake, "weather"))

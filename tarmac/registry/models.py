@@ -101,6 +101,10 @@ def m14_mart_hourly_profile(t: Tables) -> DataFrame:
 # --- serving --------------------------------------------------------------------------------
 
 
+def _month_facts(t: Tables) -> DataFrame:
+    return serving.facts_of_month(t.facts(), MONTH)
+
+
 @query("""select sum(flights)::bigint as total_flights, min(year_month) as first_month, max(year_month) as last_month from kpis""")
 def d01_header(t: Tables) -> DataFrame:
     return serving.header(m08_mart_kpis_monthly(t))
@@ -135,7 +139,7 @@ def d05_hourly_delays(t: Tables) -> DataFrame:
 @query(f"""select on_time_rank, carrier_name, carrier_type, flights, on_time_pct, avg_arr_delay_min, cancellation_pct
     from carrier_month where year_month = '{MONTH}'""")
 def d06_airline_ranking(t: Tables) -> DataFrame:
-    return serving.airline_ranking(m09_mart_carrier_monthly(t), MONTH)
+    return serving.airline_ranking(marts.mart_carrier_monthly(_month_facts(t), t.carriers()), MONTH)
 
 
 _HUBS = f"""with hub as (
@@ -194,14 +198,14 @@ def d12_uplift_matrix(t: Tables) -> DataFrame:
 @query(f"""select route, flights, on_time_pct from route_month where year_month = '{MONTH}'
     order by route_month.flights desc, route limit 15""")
 def d13_busiest_routes(t: Tables) -> DataFrame:
-    return serving.busiest_routes(m11_mart_route_monthly(t), MONTH)
+    return serving.busiest_routes(marts.mart_route_monthly(_month_facts(t)), MONTH)
 
 
 @query(f"""with rm as (from route_month where year_month = '{MONTH}')
     select route, flights, on_time_pct from rm where rm.flights >= (select quantile_cont(r.flights, 0.5) from rm r)
     order by rm.on_time_pct nulls last, route limit 15""")
 def d14_least_punctual_busy_routes(t: Tables) -> DataFrame:
-    return serving.least_punctual_busy_routes(m11_mart_route_monthly(t), MONTH)
+    return serving.least_punctual_busy_routes(marts.mart_route_monthly(_month_facts(t)), MONTH)
 
 
 # --- checks ---------------------------------------------------------------------------------
