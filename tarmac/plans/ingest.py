@@ -5,14 +5,14 @@ from __future__ import annotations
 import logging
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.functions import hhmm_number, missing_to_null, strip_all
 from tarmac.operators import zip_arrays
 from tarmac.schemas import EXTRACT_COLUMNS, WEATHER_VARIABLES
 from tarmac.sources import landing as landed
-from tarmac.sources.lake import bronze_path, present_months, write_month_partitions
+from tarmac.sources.lake import bronze_path, present_months, read_bronze, write_month_partitions
 from tarmac.sources.seeds import hub_order
 
 log = logging.getLogger(__name__)
@@ -105,11 +105,17 @@ def pending_months(available: DataFrame, present: DataFrame, force: bool = False
 # --- loads ----------------------------------------------------------------------------------
 
 
-def _load(bronze: DataFrame, path: str) -> int:
-    """Write and count in the same pass."""
-    seen = Observation()
-    write_month_partitions(bronze.observe(seen, F.count(F.lit(1)).alias("rows")), path)
-    return seen.get["rows"]
+def _load(bronze: DataFrame, lake: str, name: str, files: list[Row], rebalance: bool = False) -> int:
+    """Replace the months of these files; returns the rows now in them.
+
+    Rows are counted in the written footers: a count taken on the way would include
+    the rows of tasks that a lost executor made run twice.
+    """
+    write_month_partitions(bronze, bronze_path(lake, name), rebalance)
+    months = F.lit(False)
+    for f in files:
+        months = months | ((F.col("year") == f.year) & (F.col("month") == f.month))
+    return read_bronze(bronze.sparkSession, lake, name).filter(months).count()
 
 
 def pending_files(
@@ -139,14 +145,15 @@ def ingest_flights(
     spark: SparkSession, landing: str, lake: str, window: DataFrame, force: bool = False
 ) -> int:
     """Load the pending months of the window in one job; returns rows written."""
-    paths = [r.path for r in pending_files(spark, landing, lake, "flights", window, force)]
-    zips = [p for p in paths if p.lower().endswith(".zip")]
-    texts = [p for p in paths if not p.lower().endswith(".zip")]
+    files = pending_files(spark, landing, lake, "flights", window, force)
+    zips = [f.path for f in files if f.path.lower().endswith(".zip")]
+    texts = [f.path for f in files if not f.path.lower().endswith(".zip")]
     raw = [read(spark, found) for read, found in (
         (landed.read_extract_zip, zips), (landed.read_extract_csv, texts)) if found]
     if not raw:
         return 0
-    return _load(bronze_flights(reduce(DataFrame.unionByName, raw)), bronze_path(lake, "flights"))
+    rows = bronze_flights(reduce(DataFrame.unionByName, raw))
+    return _load(rows, lake, "flights", files, rebalance=bool(texts))
 
 
 def ingest_weather(
@@ -164,7 +171,7 @@ def ingest_weather(
         payload = landed.read_weather_payload(spark, file.path)
         dated = payload.select("responses", *landed.month_of(F.col("path")))
         try:
-            rows += _load(bronze_weather(dated, hubs), bronze_path(lake, "weather"))
+            rows += _load(bronze_weather(dated, hubs), lake, "weather", [file])
         except Exception as error:  # noqa: BLE001
             log.warning("weather of %d-%02d skipped, the next run retries it: %s", file.year, file.month, error)
     return rows

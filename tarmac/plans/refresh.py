@@ -30,6 +30,7 @@ from tarmac.sources.lake import MARTS, read_bronze, read_table, table_path
 log = logging.getLogger(__name__)
 
 MONTH = "ym"  # partition column of silver, facts and partials: yyyymm as an int
+FEW_MONTHS = 4
 Months = Sequence[tuple[int, int]]
 
 
@@ -66,11 +67,17 @@ class Lake:
             df = df.filter(F.col(MONTH).isin(self._numbers()))
         return df.drop(MONTH)
 
-    def write(self, df: DataFrame, layer: str, name: str, day: str) -> None:
-        """Write by month; a build of some months replaces only the months found in ``df``."""
-        number = (F.year(day) * 100 + F.month(day)).alias(MONTH)
+    def write(self, df: DataFrame, layer: str, name: str, day: str, spread: bool = False) -> None:
+        """Write by month; a build of some months replaces only the months found in ``df``.
+
+        ``spread`` says that every task holds rows of all months. Over many months the
+        rows are then brought together first; over a few, the files of a task are large
+        enough and the shuffle is saved.
+        """
+        rows = df.select("*", (F.year(day) * 100 + F.month(day)).alias(MONTH))
+        if spread and (self.months is None or len(self.months) > FEW_MONTHS):
+            rows = rows.hint("rebalance", MONTH)
         mode = "static" if self.months is None else "dynamic"
-        rows = df.select("*", number).hint("rebalance", MONTH)
         rows.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(MONTH).parquet(
             table_path(self.root, layer, name)
         )
@@ -88,7 +95,7 @@ class Lake:
         """
         self.write(partials, "partials", name, day)
         path = table_path(self.root, "partials", name)
-        everything = self.spark.read.schema(partials.schema).parquet(path)
+        everything = self.spark.read.schema(partials.schema).parquet(path).drop(MONTH)
         self.publish(finish(everything), name)
 
 
@@ -97,7 +104,7 @@ def build_silver(lake: Lake) -> None:
     weather = lake.bronze("weather")
     small = fits_broadcast(weather.select("airport_code", "weather_time"))
     flights = star.int_flights_weather(stg_flights(lake.bronze("flights")), stg_weather(weather), small)
-    lake.write(flights, "silver", "int_flights_weather", "flight_date")
+    lake.write(flights, "silver", "int_flights_weather", "flight_date", spread=True)
 
 
 def _together(*steps: Callable[[], None]) -> None:
@@ -144,18 +151,27 @@ def has_strays(bronze: DataFrame) -> bool:
     return not bronze.filter(outside).limit(1).isEmpty()
 
 
-def dirty_months(spark: SparkSession, root: str) -> list[tuple[int, int]] | None:
-    """Months whose bronze is newer than gold; None before the first complete build."""
+@dataclass
+class State:
+    """What a later build has to know: months with newer bronze, and stray dates."""
+
+    dirty: list[tuple[int, int]]
+    strays: bool = False
+
+
+def read_state(spark: SparkSession, root: str) -> State | None:
+    """None before the first complete build."""
     try:
-        return [(r.year, r.month) for r in read_table(spark, root, "state", "dirty_months").collect()]
+        row = read_table(spark, root, "state", "build").first()
     except AnalysisException:
         return None
+    return State([tuple(m) for m in row.dirty], row.strays)
 
 
-def set_dirty_months(spark: SparkSession, root: str, months: Months) -> None:
-    """Remember the months to rebuild, so that a run that breaks off is made up for."""
-    rows = spark.createDataFrame(list(months), "year int, month int")
-    rows.write.mode("overwrite").parquet(table_path(root, "state", "dirty_months"))
+def write_state(spark: SparkSession, root: str, state: State) -> None:
+    row = [(sorted(state.dirty), state.strays)]
+    df = spark.createDataFrame(row, "dirty array<struct<year: int, month: int>>, strays boolean")
+    df.coalesce(1).write.mode("overwrite").parquet(table_path(root, "state", "build"))
 
 
 def build(
@@ -167,8 +183,11 @@ def build(
     Months are rebuilt alone only where that is exact: a complete build came before and
     no file holds flights of another month. Repeating a build that broke off is safe.
     """
-    dirty = dirty_months(spark, root)
-    if months is not None and (dirty is None or has_strays(read_bronze(spark, root, "flights"))):
+    state = read_state(spark, root)
+    if state is None or state.strays:
+        months = None
+    strays = has_strays(Lake(spark, root, months).bronze("flights"))
+    if strays:
         months = None
     lake = Lake(spark, root, months)
     carriers = seeds.carriers(spark) if carriers is None else carriers
@@ -177,26 +196,30 @@ def build(
     build_core(lake, carriers, hubs)
     build_marts(lake, carriers)
     if checked:
-        check(spark, root)
-    left = [] if months is None else [m for m in dirty if m not in set(months)]
-    set_dirty_months(spark, root, left)
+        check(lake)
+    left = [] if months is None else [m for m in state.dirty if m not in set(months)]
+    write_state(spark, root, State(left, strays))
 
 
-def lake_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The tables the quality suite looks at, as written."""
-    lake = Lake(spark, root)
-    gold = ["fct_flights", "dim_carrier", "dim_airport", "dim_date", *MARTS]
+def lake_tables(lake: Lake) -> dict[str, DataFrame]:
+    """What the quality suite looks at, as written.
+
+    Of the large tables the touched months: every rule on them holds or breaks within a
+    month. The small ones are taken whole.
+    """
+    gold = ["dim_carrier", "dim_airport", "dim_date", *MARTS]
     return {
         "bronze_flights": lake.bronze("flights"),
-        "stg_flights": lake.read("silver", "int_flights_weather"),
+        "stg_flights": lake.read("silver", "int_flights_weather", touched=True),
         "stg_weather": stg_weather(lake.bronze("weather")),
+        "fct_flights": lake.read("gold", "fct_flights", touched=True),
         **{name: lake.read("gold", name) for name in gold},
     }
 
 
-def check(spark: SparkSession, root: str) -> None:
+def check(lake: Lake) -> None:
     """Raise with the broken checks, if any."""
-    broken = quality.report(lake_tables(spark, root)).filter(F.col("violations") > 0).collect()
+    broken = quality.report(lake_tables(lake)).filter(F.col("violations") > 0).collect()
     if broken:
         raise QualityError("; ".join(
             f"{r.check_name}({r.table_name}.{r.column_name}): {r.violations}" for r in broken))
@@ -227,10 +250,10 @@ def refresh(
         for folder, name in ((extracts, "flights"), (payloads, "weather"))
         for f in ingest.pending_files(spark, folder, root, name, window, force)
     })
-    dirty = dirty_months(spark, root)
-    todo = None if dirty is None else sorted({*dirty, *touched})
+    state = read_state(spark, root)
+    todo = None if state is None else sorted({*state.dirty, *touched})
     if todo:
-        set_dirty_months(spark, root, todo)
+        write_state(spark, root, State(todo, state.strays))
     rows = ingest.ingest_flights(spark, extracts, root, window, force)
     ingest.ingest_weather(spark, payloads, root, window, force=force)
     log.info("new flight rows: %d, months touched: %s", rows, touched)

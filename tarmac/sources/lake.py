@@ -27,16 +27,18 @@ def table_path(lake: str, layer: str, name: str) -> str:
     return f"{lake}/{layer}/{name}"
 
 
-def write_month_partitions(df: DataFrame, path: str) -> None:
+def write_month_partitions(df: DataFrame, path: str, rebalance: bool = False) -> None:
     """Replace the months found in ``df``; other months stay.
 
-    Rows are rebalanced by month, which splits a month too large for one file and
-    merges small ones. Folder names keep the zero-padded month.
+    Rebalancing by month costs a shuffle. It pays where a task holds a small slice of
+    a month, and splits a month too large for one file; where a task holds whole months,
+    as with zipped extracts, it is left out. Folder names keep the zero-padded month.
     """
     padded = df.withColumn("month", F.lpad(F.col("month").cast("string"), 2, "0"))
+    if rebalance:
+        padded = padded.hint("rebalance", "year", "month")
     (
-        padded.hint("rebalance", "year", "month")
-        .write.mode("overwrite")
+        padded.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year", "month")
         .parquet(path)
