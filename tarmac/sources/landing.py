@@ -7,12 +7,14 @@ is not zero-padded.
 from __future__ import annotations
 
 import io
+import sys
 import zipfile
 from collections.abc import Iterator, Sequence
 from pathlib import PurePosixPath
 
 import pyarrow as pa
 from pyarrow import csv
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,6 +92,8 @@ def read_extract_zip(spark: SparkSession, paths: str | Sequence[str]) -> DataFra
 
 
 def unzip_extracts(files: DataFrame) -> DataFrame:
+    """Raw text rows of binary files; the small reader travels with the job."""
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     return files.select("path", "content").mapInArrow(_unzip, RAW_EXTRACT)
 
 

@@ -14,6 +14,8 @@ def spark(tmp_path_factory):
         builder("tests").master("local[4]")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "4g")
+        .config("spark.sql.codegen.wholeStage", "false")  # a few rows per plan: compiling costs more
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
