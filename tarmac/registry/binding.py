@@ -1,8 +1,8 @@
 """Flights, weather and seeds derived from the driver's tables, in the bronze shape.
 
-The lake is laid out as in production: bronze and the matched silver flights are
-written once per application to the shared folder, everything else is a lazy plan
-over them. So the line items are joined and the flights de-duplicated once, however
+The lake is laid out as in production: bronze, the matched silver flights and the
+dimensions are written once per application to the shared folder, everything else is
+a lazy plan over them. So the line items are joined and the flights de-duplicated once, however
 many queries follow, and those queries read only the columns they name. The written
 tables belong to the exact source files (path, size, time); changed files are bound
 anew.
@@ -202,10 +202,19 @@ class Tables:
         return fct_flights(self.silver())
 
     def dim_airport(self) -> DataFrame:
-        return dim_airport(self.silver(), self.hubs())
+        return self._table("dim-airport", self.derive_dim_airport)
 
     def dim_carrier(self) -> DataFrame:
-        return dim_carrier(self.silver(), self.carriers())
+        return self._table("dim-carrier", self.derive_dim_carrier)
 
     def dim_date(self) -> DataFrame:
+        return self._table("dim-date", self.derive_dim_date)
+
+    def derive_dim_airport(self) -> DataFrame:
+        return dim_airport(self.silver(), self.hubs())
+
+    def derive_dim_carrier(self) -> DataFrame:
+        return dim_carrier(self.silver(), self.carriers())
+
+    def derive_dim_date(self) -> DataFrame:
         return dim_date(self.silver())

@@ -47,12 +47,12 @@ def m04_fct_flights(t: Tables) -> DataFrame:
 
 @query("select * from airports")
 def m05_dim_airport(t: Tables) -> DataFrame:
-    return t.dim_airport()
+    return t.derive_dim_airport()
 
 
 @query("select * from carriers_seen")
 def m06_dim_carrier(t: Tables) -> DataFrame:
-    return t.dim_carrier()
+    return t.derive_dim_carrier()
 
 
 @query("""select strftime(d, '%Y%m%d')::int as date_key, d as full_date, year(d)::int as year, quarter(d)::int as quarter, month(d)::int as month,
@@ -60,7 +60,7 @@ def m06_dim_carrier(t: Tables) -> DataFrame:
     isodow(d) > 5 as is_weekend
     from (select unnest(range(min(flight_date), max(flight_date) + interval 1 day, interval 1 day))::date as d from flights)""")
 def m07_dim_date(t: Tables) -> DataFrame:
-    return t.dim_date()
+    return t.derive_dim_date()
 
 
 @query("select * from kpis")
