@@ -11,6 +11,7 @@ anew.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,15 +31,19 @@ def airport_code(nation: Column) -> Column:
 
 
 class Tables:
+    """The tables as one query sees them: source version and scans are looked up once."""
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._scans: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     # --- written once -----------------------------------------------------------------------
 
+    @cached_property
     def _stamp(self) -> tuple:
         """What identifies the source files: one row from a listing of six tables, no data."""
         files = self.spark.read.format("binaryFile").load([f"{self.sf_dir}/{n}.parquet" for n in _SOURCES])
@@ -48,7 +53,7 @@ class Tables:
 
     def once(self, name: str, write: Callable[[], str]) -> str:
         """The path ``write`` wrote for these source files, on first use."""
-        key = (self.spark.sparkContext.applicationId, self._stamp(), name)
+        key = (self.spark.sparkContext.applicationId, self._stamp, name)
         if key not in _WRITTEN:
             _WRITTEN[key] = write()
         return _WRITTEN[key]
@@ -64,7 +69,9 @@ class Tables:
             build().write.partitionBy(*by).parquet(path)
             return path
 
-        return self.spark.read.parquet(self.once(name, write))
+        if name not in self._scans:
+            self._scans[name] = self.spark.read.parquet(self.once(name, write))
+        return self._scans[name]
 
     def bronze_flights(self) -> DataFrame:
         return self._table("bronze-flights", self._dated_flights, "year", "month").drop("year", "month")
