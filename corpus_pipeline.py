@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import bpe, lines, mixing, toxicity
+from tarmac.llm import bpe, lines, mixing, ngram_join, toxicity
 from tarmac.llm.queries import tokenizer_path
 from tarmac.llm.tables import read, settle
 
@@ -30,6 +30,19 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     ).select(*docs.columns)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near copies (five words, 0.8) the document with the smallest ``doc_id`` stays.
+
+    Rows without words are in no class and stay; of equal rows one stays.
+    """
+    classes = ngram_join.near_duplicates(docs, ngram_join.Rule(width=5, percent=80)).filter("n_shingles > 0")
+    gone = settle(classes.filter(F.col("doc_id") != F.col("component_id")).select(
+        F.col("doc_id").alias("_gone")).distinct(), "near-copies")
+    again = [F.col(f"`{c}`") for c in docs.columns]
+    left = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return left.select(*again)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it, as rows."""
     return mixing.mix(docs)
@@ -43,6 +56,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("toxicity", drop_toxic),
     ("line dedup", drop_repeated_lines),
+    ("n-gram join", drop_near_copies),
     ("mixing", mix_sources),
     ("bpe", encode),
 ]

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.tables import chunks, widened
+from tarmac.llm.words import PLAIN
 
 # Phrases with their labels.
 BASE = {
@@ -43,18 +44,6 @@ MAX_EDITS = {notice: max(1, len(notice) // 12) for notice in NOTICES}
 SPAN = "array<struct<label: string, first: bigint, last: bigint, edits: int, exact: boolean>>"
 
 
-def _word_table() -> bytes:
-    """Lower case for A-Z, blanks for what stands between words."""
-    table = bytearray(range(256))
-    for b in range(128):
-        char = chr(b)
-        table[b] = ord(char.lower()) if char.isalnum() else 32
-    return bytes(table)
-
-
-WORDS = _word_table()
-
-
 def seeds(notice: str, edits: int) -> list[tuple[str, int]]:
     """``edits`` + 1 pieces of about equal length, with their places in the notice."""
     n = edits + 1
@@ -131,7 +120,7 @@ def scan(docs: DataFrame, text: str = "text", base: dict[str, str] = BASE, notic
         for batch, texts in chunks(batches, text):
             counts, spans = [], []
             for data in texts:
-                words = data.translate(WORDS).split()
+                words = data.translate(PLAIN).split()
                 counts.append(len(words))
                 found = scanner.spans(b" " + b" ".join(words) + b" ") if words else []
                 spans.append([dict(zip(names, span)) for span in found])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import bpe, entropy, licenses, lines, mixing, toxicity
+from tarmac.llm import bpe, entropy, licenses, lines, mixing, ngram_join, pii, pivots, spots, toxicity
 from tarmac.llm.book import ORACLES, QUERIES, query
 from tarmac.llm.tables import read
 
@@ -18,6 +18,16 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+@query()
+def op1_spot_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spots.with_next(read(spark, sf_dir, "documents"))
+
+
+@query()
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(read(spark, sf_dir, "documents"), ngram_join.Rule(width=4, percent=85))
+
+
 @query()
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.report(read(spark, sf_dir, "documents"), "doc_id")
@@ -41,6 +51,11 @@ def op6_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.drop("text").withColumn("held_out", toxicity.held_out(F.col("doc_id")))
 
 
+@query()
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(read(spark, sf_dir, "documents"), "doc_id")
+
+
 @query()
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -51,6 +66,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+@query()
+def op9_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
 @query()
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
