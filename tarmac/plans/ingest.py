@@ -12,7 +12,7 @@ from tarmac.functions import hhmm_number, missing_to_null, strip_all
 from tarmac.operators import zip_arrays
 from tarmac.schemas import EXTRACT_COLUMNS, WEATHER_VARIABLES
 from tarmac.sources import landing as landed
-from tarmac.sources.lake import bronze_path, present_months, read_bronze, write_month_partitions
+from tarmac.sources.lake import bronze_path, month_stamps, present_months, read_bronze, write_month_partitions
 from tarmac.sources.seeds import hub_order
 
 log = logging.getLogger(__name__)
@@ -105,17 +105,18 @@ def pending_months(available: DataFrame, present: DataFrame, force: bool = False
 # --- loads ----------------------------------------------------------------------------------
 
 
-def _load(bronze: DataFrame, lake: str, name: str, files: list[Row], rebalance: bool = False) -> int:
-    """Replace the months of these files; returns the rows now in them.
+def _load(bronze: DataFrame, lake: str, name: str, files: list[Row]) -> int:
+    """Replace the months of these files, also those without any row left; returns the rows now in them.
 
     Rows are counted in the written footers: a count taken on the way would include
     the rows of tasks that a lost executor made run twice.
     """
-    write_month_partitions(bronze, bronze_path(lake, name), rebalance)
-    months = F.lit(False)
-    for f in files:
-        months = months | ((F.col("year") == f.year) & (F.col("month") == f.month))
-    return read_bronze(bronze.sparkSession, lake, name).filter(months).count()
+    months = sorted({(f.year, f.month) for f in files})
+    write_month_partitions(bronze, bronze_path(lake, name), emptied=months)
+    if not month_stamps(bronze.sparkSession, bronze_path(lake, name)):
+        return 0
+    written = read_bronze(bronze.sparkSession, lake, name)
+    return written.filter((F.col("year") * 100 + F.col("month")).isin([y * 100 + m for y, m in months])).count()
 
 
 def pending_files(
@@ -123,11 +124,15 @@ def pending_files(
 ) -> list[Row]:
     """Landed files (path, year, month) of the window that bronze does not hold yet.
 
-    A driver-side list, bounded by the months of the window.
+    Of a month landed both zipped and plain the zipped files count. A driver-side list,
+    bounded by the months of the window.
     """
     suffixes = ["zip", "csv"] if name == "flights" else ["json"]
-    files = reduce(DataFrame.unionByName, [landed.landed_months(spark, landing, s) for s in suffixes])
-    wanted = files.join(window, ["year", "month"], "left_semi")
+    files = reduce(DataFrame.unionByName, [
+        landed.landed_months(spark, landing, s).withColumn("_rank", F.lit(i)) for i, s in enumerate(suffixes)])
+    first = files.groupBy("year", "month").agg(F.min("_rank").alias("_rank"))
+    wanted = files.join(first, ["year", "month", "_rank"], "left_semi").drop("_rank").join(
+        window, ["year", "month"], "left_semi")
     pending = pending_months(wanted, present_months(spark, bronze_path(lake, name)), force)
     return pending.orderBy("year", "month", "path").collect()
 
@@ -145,33 +150,50 @@ def ingest_flights(
     spark: SparkSession, landing: str, lake: str, window: DataFrame, force: bool = False
 ) -> int:
     """Load the pending months of the window in one job; returns rows written."""
-    files = pending_files(spark, landing, lake, "flights", window, force)
+    return load_flights(spark, lake, pending_files(spark, landing, lake, "flights", window, force))
+
+
+def load_flights(spark: SparkSession, lake: str, files: list[Row]) -> int:
+    """Load the listed extracts; returns rows written."""
     zips = [f.path for f in files if f.path.lower().endswith(".zip")]
     texts = [f.path for f in files if not f.path.lower().endswith(".zip")]
     raw = [read(spark, found) for read, found in (
         (landed.read_extract_zip, zips), (landed.read_extract_csv, texts)) if found]
     if not raw:
         return 0
-    rows = bronze_flights(reduce(DataFrame.unionByName, raw))
-    return _load(rows, lake, "flights", files, rebalance=bool(texts))
+    return _load(bronze_flights(reduce(DataFrame.unionByName, raw)), lake, "flights", files)
 
 
 def ingest_weather(
     spark: SparkSession, landing: str, lake: str, window: DataFrame,
     hubs: DataFrame | None = None, force: bool = False,
 ) -> int:
-    """Load pending weather months, one job per month so a bad month stops no other.
+    """Load the pending weather months of the window; returns rows written."""
+    return load_weather(spark, lake, pending_files(spark, landing, lake, "weather", window, force), hubs)
+
+
+def load_weather(spark: SparkSession, lake: str, files: list[Row], hubs: DataFrame | None = None) -> int:
+    """Load the listed payloads in one job; if that fails, month by month, so a bad one stops no other.
 
     Weather only enriches: a failed month is logged and, not being present, picked up
     by the next run.
     """
     hubs = hub_order(spark) if hubs is None else hubs
-    rows = 0
-    for file in pending_files(spark, landing, lake, "weather", window, force):
-        payload = landed.read_weather_payload(spark, file.path)
+
+    def load(some: list[Row]) -> int:
+        payload = landed.read_weather_payload(spark, [f.path for f in some])
         dated = payload.select("responses", *landed.month_of(F.col("path")))
+        return _load(bronze_weather(dated, hubs), lake, "weather", some)
+
+    if len(files) > 1:
+        try:
+            return load(files)
+        except Exception as error:  # noqa: BLE001
+            log.warning("weather is loaded month by month: %s", error)
+    rows = 0
+    for month in sorted({(f.year, f.month) for f in files}):
         try:
-            rows += _load(bronze_weather(dated, hubs), lake, "weather", [file])
+            rows += load([f for f in files if (f.year, f.month) == month])
         except Exception as error:  # noqa: BLE001
-            log.warning("weather of %d-%02d skipped, the next run retries it: %s", file.year, file.month, error)
+            log.warning("weather of %d-%02d skipped, the next run retries it: %s", *month, error)
     return rows

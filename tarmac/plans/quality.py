@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.operators.checks import orphans, outside_range, outside_values, same_row_count, summary, unique
+from tarmac.operators.checks import outside_range, outside_values, summary
 from tarmac.schemas import CANCELLATION_REASONS, DELAY_CAUSES, WEATHER_CLASSES
 
 
@@ -86,50 +86,83 @@ RELATIONSHIPS = [
 ]
 
 
-def _named(df: DataFrame, check: str, table: str, column: str, violations: Column) -> DataFrame:
-    return df.agg(violations.alias("violations")).select(
-        F.lit(check).alias("check_name"),
-        F.lit(table).alias("table_name"),
-        F.lit(column).alias("column_name"),
-        F.coalesce("violations", F.lit(0)).cast("long").alias("violations"),
-    )
+def _line(check: str, table: str, column: str, violations: Column) -> Column:
+    return F.struct(
+        F.lit(check).alias("check_name"), F.lit(table).alias("table_name"), F.lit(column).alias("column_name"),
+        violations.cast("long").alias("violations"))
+
+
+def row_report(df: DataFrame, table: str, rules: list[RowRule]) -> DataFrame:
+    """All row rules of one table and its rows (check ``rows``), in one pass over the columns they name."""
+    counted = df.agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.count_if(r.violation()).alias(f"_{i}") for i, r in enumerate(rules)])
+    lines = [_line(r.check, r.table, r.column, F.col(f"_{i}")) for i, r in enumerate(rules)]
+    return counted.select(F.inline(F.array(_line("rows", table, "*", F.col("_rows")), *lines)))
+
 
+def unique_report(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Key values that occur more than once, of all tables with a key: one grouping over all of them."""
+    keys = reduce(DataFrame.unionByName, [
+        tables[t].select(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), F.col(c).cast("string").alias("key"))
+        for t, c in UNIQUE.items()])
+    repeated = keys.filter(F.col("key").isNotNull()).groupBy("table_name", "column_name", "key").agg(
+        F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    return repeated.groupBy("table_name", "column_name").agg(F.count(F.lit(1)).alias("violations")).select(
+        F.lit("unique").alias("check_name"), "table_name", "column_name", "violations")
 
-def row_report(df: DataFrame, rules: list[RowRule]) -> DataFrame:
-    """All row rules of one table in one pass over the columns they name."""
-    counted = df.agg(*[F.count_if(r.violation()).alias(f"_{i}") for i, r in enumerate(rules)])
-    lines = [
-        F.struct(
-            F.lit(r.check).alias("check_name"),
-            F.lit(r.table).alias("table_name"),
-            F.lit(r.column).alias("column_name"),
-            F.col(f"_{i}").alias("violations"),
-        )
-        for i, r in enumerate(rules)
-    ]
-    return counted.select(F.inline(F.array(*lines)))
+
+def relationship_report(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows whose key has no parent, for all relationships in one pass over the child table.
+
+    The child is grouped by all its keys together, the groups are taken apart key by key,
+    and one anti-join meets the keys of all parents.
+    """
+    children = {child for child, *_ in RELATIONSHIPS}
+    parts = []
+    for child in children:
+        own = [r for r in RELATIONSHIPS if r[0] == child]
+        grouped = tables[child].groupBy(*[key for _, key, _, _ in own]).agg(F.count(F.lit(1)).alias("rows"))
+        apart = grouped.select("rows", F.inline(F.array(*[
+            F.struct(F.lit(child).alias("table_name"), F.lit(key).alias("column_name"), F.col(key).cast("string").alias("key"))
+            for _, key, _, _ in own])))
+        parts.append(apart.filter(F.col("key").isNotNull()).groupBy("table_name", "column_name", "key").agg(
+            F.sum("rows").alias("rows")))
+    parents = reduce(DataFrame.unionByName, [
+        tables[parent].select(F.lit(child).alias("table_name"), F.lit(key).alias("column_name"),
+                              F.col(parent_key).cast("string").alias("key"))
+        for child, key, parent, parent_key in RELATIONSHIPS])
+    lost = reduce(DataFrame.unionByName, parts).join(parents, ["table_name", "column_name", "key"], "left_anti")
+    return lost.groupBy("table_name", "column_name").agg(F.sum("rows").alias("violations")).select(
+        F.lit("relationships").alias("check_name"), "table_name", "column_name", "violations")
 
 
 def report(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per check of the suite with its number of violations.
 
-    Several checks read the same table: give written tables, not long lazy plans.
+    One pass per table for its row rules and row count, one grouping for all keys, one pass over
+    the facts for all relationships. Give written tables, not long lazy plans.
     """
     by_table: dict[str, list[RowRule]] = defaultdict(list)
     for rule in ROW_RULES:
         by_table[rule.table].append(rule)
-    parts = [row_report(tables[name], rules) for name, rules in by_table.items()]
-    rows = F.count(F.lit(1))
-    parts += [_named(unique(tables[t], c), "unique", t, c, rows) for t, c in UNIQUE.items()]
-    parts += [
-        _named(orphans(tables[child], key, tables[parent], parent_key), "relationships", child, key, F.sum("rows"))
-        for child, key, parent, parent_key in RELATIONSHIPS
-    ]
-    parts.append(
-        _named(same_row_count(tables["stg_flights"], tables["fct_flights"]),
-               "same_row_count", "fct_flights", "*", rows)
-    )
-    return reduce(DataFrame.unionByName, parts)
+    counted = reduce(DataFrame.unionByName, [row_report(tables[name], name, rules) for name, rules in by_table.items()])
+    # The difference of the two row counts: one is added, the other taken away.
+    signed = F.when(F.col("table_name") == "fct_flights", F.col("violations")).otherwise(-F.col("violations"))
+    same = (F.col("check_name") == "rows") & F.col("table_name").isin("stg_flights", "fct_flights")
+    counted = counted.filter((F.col("check_name") != "rows") | same).select(
+        F.when(same, "same_row_count").otherwise(F.col("check_name")).alias("check_name"),
+        F.when(same, "fct_flights").otherwise(F.col("table_name")).alias("table_name"), "column_name",
+        F.when(same, signed).otherwise(F.col("violations")).alias("violations"))
+    none = [_line("unique", t, c, F.lit(0)) for t, c in UNIQUE.items()]
+    none += [_line("relationships", child, key, F.lit(0)) for child, key, _, _ in RELATIONSHIPS]
+    spark = next(iter(tables.values())).sparkSession
+    zeros = spark.range(1).select(F.inline(F.array(*none)))
+    parts = [counted, unique_report(tables), relationship_report(tables), zeros]
+    total = reduce(DataFrame.unionByName, parts).groupBy("check_name", "table_name", "column_name").agg(
+        F.sum("violations").alias("violations"))
+    differ = (F.col("violations") != 0).cast("long")
+    return total.withColumn("violations", F.when(
+        F.col("check_name") == "same_row_count", differ).otherwise(F.col("violations")).cast("long"))
 
 
 def hhmm_summary(bronze: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.operators import fits_broadcast
+from tarmac.plans import marts
 from tarmac.plans.staging import stg_flights, stg_weather
 from tarmac.plans.star import dim_airport, dim_carrier, dim_date, fct_flights, int_flights_weather
 from tarmac.session import scratch_path
@@ -26,6 +27,10 @@ _SOURCES = ["lineitem", "orders", "customer", "supplier", "nation", "events"]
 _WRITTEN: dict[tuple, str] = {}
 
 
+def month_number(day: Column) -> Column:
+    return F.year(day) * 100 + F.month(day)
+
+
 def airport_code(nation: Column) -> Column:
     return F.concat(F.lit("A"), F.lpad(nation.cast("string"), 2, "0"))
 
@@ -61,8 +66,8 @@ class Tables:
     def _table(self, name: str, build: Callable[[], DataFrame], *by: str) -> DataFrame:
         """The table ``name``, written on first use.
 
-        The bound flights fall into two months, so every task writes at most two files
-        and no shuffle is spent on the layout.
+        Bronze and silver lie by month. The bound flights fall into two months, so every task
+        writes at most two files and no shuffle is spent on the layout.
         """
         def write() -> str:
             path = scratch_path(self.spark, name)
@@ -80,7 +85,15 @@ class Tables:
         return self._table("bronze-weather", self.derive_weather)
 
     def silver(self) -> DataFrame:
-        return self._table("silver", self.int_flights_weather)
+        return self._table("silver", self._silver_by_month, "ym").drop("ym")
+
+    def _silver_by_month(self) -> DataFrame:
+        return self.int_flights_weather().withColumn("ym", month_number(F.col("flight_date")))
+
+    def facts_of_month(self, year_month: str) -> DataFrame:
+        """Facts of one month, read from its folder."""
+        silver = self._table("silver", self._silver_by_month, "ym")
+        return fct_flights(silver.filter(F.col("ym") == int(year_month.replace("-", ""))).drop("ym"))
 
     # --- bronze from the driver's tables ----------------------------------------------------
 
@@ -225,3 +238,18 @@ class Tables:
 
     def derive_dim_date(self) -> DataFrame:
         return dim_date(self.silver())
+
+    # --- marts as written -------------------------------------------------------------------
+
+    def mart(self, name: str) -> DataFrame:
+        """A mart, written on first use, as the serving queries and the checks read it."""
+        builders: dict[str, Callable[[], DataFrame]] = {
+            "mart_kpis_monthly": lambda: marts.mart_kpis_monthly(self.facts()),
+            "mart_carrier_monthly": lambda: marts.mart_carrier_monthly(self.facts(), self.carriers()),
+            "mart_airport_daily": lambda: marts.mart_airport_daily(self.facts(), self.dim_airport()),
+            "mart_route_monthly": lambda: marts.mart_route_monthly(self.facts()),
+            "mart_delay_causes_monthly": lambda: marts.mart_delay_causes_monthly(self.facts()),
+            "mart_weather_impact": lambda: marts.mart_weather_impact(self.facts()),
+            "mart_hourly_profile": lambda: marts.mart_hourly_profile(self.facts()),
+        }
+        return self._table(name, builders[name])

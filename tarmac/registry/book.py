@@ -13,8 +13,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None):
-    """Register a function of ``Tables`` under its own name, with its SQL."""
+def query(sql: str | None = None, **changed: str):
+    """Register a function of ``Tables`` under its own name, with its SQL (over tables with conditions on their rows)."""
 
     def register(build: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,7 +22,7 @@ def query(sql: str | None = None):
 
         QUERIES[build.__name__] = run
         if sql is not None:
-            ORACLES[build.__name__] = with_tables(sql)
+            ORACLES[build.__name__] = with_tables(sql, **changed)
         return build
 
     return register

@@ -102,12 +102,12 @@ def m14_mart_hourly_profile(t: Tables) -> DataFrame:
 
 
 def _month_facts(t: Tables) -> DataFrame:
-    return serving.facts_of_month(t.facts(), MONTH)
+    return serving.facts_of_month(t.facts_of_month(MONTH), MONTH)
 
 
 @query("""select sum(flights)::bigint as total_flights, min(year_month) as first_month, max(year_month) as last_month from kpis""")
 def d01_header(t: Tables) -> DataFrame:
-    return serving.header(m08_mart_kpis_monthly(t))
+    return serving.header(t.mart("mart_kpis_monthly"))
 
 
 _CARDS = ["flights", "on_time_pct", "avg_arr_delay_min", "cancellation_pct", "total_delay_hours"]
@@ -118,22 +118,22 @@ _CARDS = ["flights", "on_time_pct", "avg_arr_delay_min", "cancellation_pct", "to
          (cur.{c} - (select p.{c} from kpis p where p.year_month < cur.year_month order by p.year_month desc limit 1))::double as delta
          from kpis cur where cur.year_month = '{MONTH}')""" for c in _CARDS))
 def d02_kpi_cards(t: Tables) -> DataFrame:
-    return serving.kpi_cards(m08_mart_kpis_monthly(t), MONTH)
+    return serving.kpi_cards(t.mart("mart_kpis_monthly"), MONTH)
 
 
 @query("select year_month, flights, on_time_pct from kpis")
 def d03_monthly_punctuality(t: Tables) -> DataFrame:
-    return serving.monthly_punctuality(m08_mart_kpis_monthly(t))
+    return serving.monthly_punctuality(t.mart("mart_kpis_monthly"))
 
 
 @query("select year_month, cause, share_pct from cause_month")
 def d04_delay_cause_shares(t: Tables) -> DataFrame:
-    return serving.delay_cause_shares(m12_mart_delay_causes_monthly(t))
+    return serving.delay_cause_shares(t.mart("mart_delay_causes_monthly"))
 
 
 @query("select scheduled_dep_hour, dep_delay_pct from hour_profile")
 def d05_hourly_delays(t: Tables) -> DataFrame:
-    return serving.hourly_delays(m14_mart_hourly_profile(t))
+    return serving.hourly_delays(t.mart("mart_hourly_profile"))
 
 
 @query(f"""select on_time_rank, carrier_name, carrier_type, flights, on_time_pct, avg_arr_delay_min, cancellation_pct
@@ -156,24 +156,24 @@ _ONE_PLACE = """case when abs(dep_delay_pct * 10 - trunc(dep_delay_pct * 10)) =
 def d07_hub_month(t: Tables) -> DataFrame:
     """Six decimals: the order of a floating-point sum shows beyond them."""
     rates = {c: rounded(F.col(c), 6) for c in ("dep_delay_pct", "cancellation_pct")}
-    return serving.hub_month(m10_mart_airport_daily(t), MONTH).withColumns(rates)
+    return serving.hub_month(marts.mart_airport_daily(_month_facts(t), t.dim_airport()), MONTH).withColumns(rates)
 
 
 @query(f"""{_HUBS} select airport_code, city_name, departures, {_ONE_PLACE} as dep_delay_pct
     from (from hub order by hub.dep_delay_pct desc nulls last, airport_code limit 10)""")
 def d08_most_delayed_hubs(t: Tables) -> DataFrame:
-    return serving.most_delayed_hubs(serving.hub_month(m10_mart_airport_daily(t), MONTH))
+    return serving.most_delayed_hubs(serving.hub_month(marts.mart_airport_daily(_month_facts(t), t.dim_airport()), MONTH))
 
 
 @query(f"""{_HUBS} select airport_code, city_name, departures, {_ONE_PLACE} as dep_delay_pct
     from (from hub order by hub.dep_delay_pct nulls last, airport_code limit 10)""")
 def d09_most_punctual_hubs(t: Tables) -> DataFrame:
-    return serving.most_punctual_hubs(serving.hub_month(m10_mart_airport_daily(t), MONTH))
+    return serving.most_punctual_hubs(serving.hub_month(marts.mart_airport_daily(_month_facts(t), t.dim_airport()), MONTH))
 
 
 @query("select * from impact where airport_code = 'ALL HUBS'")
 def d10_all_hubs_by_weather(t: Tables) -> DataFrame:
-    return serving.all_hubs_by_weather(m13_mart_weather_impact(t))
+    return serving.all_hubs_by_weather(t.mart("mart_weather_impact"))
 
 
 @query("""select calm.dep_delay_pct as baseline_pct, w.weather_condition as worst_condition, w.dep_delay_pct as worst_pct,
@@ -182,7 +182,7 @@ def d10_all_hubs_by_weather(t: Tables) -> DataFrame:
          (from impact where airport_code = 'ALL HUBS' order by impact.dep_delay_pct desc nulls last,
           list_position(['Snow', 'Strong wind', 'Heavy rain', 'Light rain', 'Dry & calm'], weather_condition) limit 1) w""")
 def d11_weather_headline(t: Tables) -> DataFrame:
-    return serving.weather_headline(m13_mart_weather_impact(t))
+    return serving.weather_headline(t.mart("mart_weather_impact"))
 
 
 @query("""select airport_code, avg(delay_uplift_pp) filter (where weather_condition = 'Light rain') as "Light rain",
@@ -192,7 +192,7 @@ def d11_weather_headline(t: Tables) -> DataFrame:
     from impact where airport_code <> 'ALL HUBS' and weather_condition <> 'Dry & calm' and delay_uplift_pp is not null
     group by airport_code""")
 def d12_uplift_matrix(t: Tables) -> DataFrame:
-    return serving.uplift_matrix(m13_mart_weather_impact(t))
+    return serving.uplift_matrix(t.mart("mart_weather_impact"))
 
 
 @query(f"""select route, flights, on_time_pct from route_month where year_month = '{MONTH}'
@@ -279,66 +279,115 @@ def q11_incomplete_weather(t: Tables) -> DataFrame:
 
 
 def _checked_tables(t: Tables) -> dict[str, DataFrame]:
-    """Written bronze and silver; facts, dimensions and marts are light plans over them."""
-    facts = t.facts()
+    """Written bronze, silver, dimensions and marts; the facts are a light plan over silver."""
+    marts_read = ["mart_kpis_monthly", "mart_carrier_monthly", "mart_delay_causes_monthly", "mart_hourly_profile"]
     return {
         "bronze_flights": t.bronze_flights(),
         "stg_flights": t.silver(),
         "stg_weather": t.stg_weather(),
-        "fct_flights": facts,
+        "fct_flights": t.facts(),
         "dim_carrier": t.dim_carrier(),
         "dim_airport": t.dim_airport(),
         "dim_date": t.dim_date(),
-        "mart_kpis_monthly": marts.mart_kpis_monthly(facts),
-        "mart_carrier_monthly": marts.mart_carrier_monthly(facts, t.carriers()),
-        "mart_delay_causes_monthly": marts.mart_delay_causes_monthly(facts),
-        "mart_hourly_profile": marts.mart_hourly_profile(facts),
+        **{name: t.mart(name) for name in marts_read},
     }
 
 
+def _null(column: str) -> str:
+    return f"{column} is null"
+
+
+# The suite as the SQL knows it: check, table, its source, column, rows in violation (or, with "=", their number).
+_SUITE = [
+    ("not_null", "bronze_flights", "b_flights", "flight_date", _null("flight_date")),
+    ("not_null", "bronze_flights", "b_flights", "carrier_code", _null("carrier_code")),
+    ("not_null", "stg_flights", "flights", "flight_id", _null("flight_id")),
+    ("not_null", "stg_flights", "flights", "flight_date", _null("flight_date")),
+    ("not_null", "stg_flights", "flights", "origin", _null("origin")),
+    ("not_null", "stg_flights", "flights", "dest", _null("dest")),
+    ("unique", "stg_flights", "flights", "flight_id", "="),
+    ("accepted_range", "stg_flights", "flights", "scheduled_dep_hour", "scheduled_dep_hour not between 0 and 23"),
+    ("accepted_values", "stg_flights", "flights", "cancellation_code", "cancellation_code not in ('A', 'B', 'C', 'D')"),
+    ("accepted_range", "stg_flights", "flights", "distance_miles", "distance_miles not between 0 and 6000"),
+    ("not_null", "stg_weather", "weather", "airport_code", _null("airport_code")),
+    ("accepted_range", "stg_weather", "weather", "precipitation_mm", "precipitation_mm not between 0 and 200"),
+    ("not_null", "fct_flights", "facts", "flight_id", _null("flight_id")),
+    ("unique", "fct_flights", "facts", "flight_id", "="),
+    ("accepted_values", "fct_flights", "facts", "cancellation_reason",
+     "cancellation_reason not in ('Carrier', 'Weather', 'National Air System', 'Security')"),
+    ("accepted_values", "fct_flights", "facts", "weather_condition",
+     "weather_condition not in ('Snow', 'Heavy rain', 'Light rain', 'Strong wind', 'Dry & calm')"),
+    ("relationships", "fct_flights", "facts", "carrier_code", "carrier_code not in (select carrier_code from carriers_seen)"),
+    ("relationships", "fct_flights", "facts", "origin_code", "origin_code not in (select airport_code from airports)"),
+    ("relationships", "fct_flights", "facts", "dest_code", "dest_code not in (select airport_code from airports)"),
+    ("relationships", "fct_flights", "facts", "date_key", "date_key not in (select date_key from facts)"),
+    ("cancelled_without_arrival", "fct_flights", "facts", "arr_delay_min",
+     "is_cancelled and (arr_delay_min is not null or is_arr_delayed is not null)"),
+    ("non_negative", "fct_flights", "facts", "delay_causes",
+     "least(carrier_delay_min, weather_delay_min, nas_delay_min, security_delay_min, late_aircraft_delay_min) < 0"),
+    ("same_row_count", "fct_flights", "", "*", "select if((select count(*) from flights) = (select count(*) from facts), 0, 1)"),
+    ("not_null", "dim_carrier", "carriers_seen", "carrier_code", _null("carrier_code")),
+    ("unique", "dim_carrier", "carriers_seen", "carrier_code", "="),
+    ("not_null", "dim_airport", "airports", "airport_code", _null("airport_code")),
+    ("unique", "dim_airport", "airports", "airport_code", "="),
+    ("not_null", "dim_date", "(select distinct date_key from facts)", "date_key", _null("date_key")),
+    ("unique", "dim_date", "(select distinct date_key from facts)", "date_key", "="),
+    ("not_null", "mart_kpis_monthly", "kpis", "year_month", _null("year_month")),
+    ("unique", "mart_kpis_monthly", "kpis", "year_month", "="),
+    ("accepted_range", "mart_kpis_monthly", "kpis", "on_time_pct", "on_time_pct not between 0 and 100"),
+    ("accepted_range", "mart_carrier_monthly", "carrier_month", "on_time_pct", "on_time_pct not between 0 and 100"),
+    ("accepted_values", "mart_delay_causes_monthly", "cause_month", "cause",
+     "cause not in ('Carrier', 'Weather', 'National Air System', 'Security', 'Late aircraft')"),
+    ("unique", "mart_hourly_profile", "hour_profile", "scheduled_dep_hour", "="),
+]
+
+
 def _suite_sql() -> str:
-    """The suite one check at a time, spelled out rather than in shared passes."""
-    def line(check: str, table: str, column: str, count: str) -> str:
-        return f"select '{check}' as check_name, '{table}' as table_name, '{column}' as column_name, ({count})::bigint as violations"
-
-    source = {
-        "bronze_flights": "b_flights", "stg_flights": "flights", "stg_weather": "weather", "fct_flights": "facts",
-        "dim_carrier": "carriers_seen", "dim_airport": "airports", "dim_date": "(select distinct date_key from facts)",
-        "mart_kpis_monthly": "kpis", "mart_carrier_monthly": "carrier_month", "mart_delay_causes_monthly": "cause_month",
-        "mart_hourly_profile": "hour_profile",
-    }
-    wheres = {
-        ("accepted_range", "scheduled_dep_hour"): "scheduled_dep_hour not between 0 and 23",
-        ("accepted_values", "cancellation_code"): "cancellation_code not in ('A', 'B', 'C', 'D')",
-        ("accepted_range", "distance_miles"): "distance_miles not between 0 and 6000",
-        ("accepted_range", "precipitation_mm"): "precipitation_mm not between 0 and 200",
-        ("accepted_values", "cancellation_reason"): "cancellation_reason not in ('Carrier', 'Weather', 'National Air System', 'Security')",
-        ("accepted_values", "weather_condition"): "weather_condition not in ('Snow', 'Heavy rain', 'Light rain', 'Strong wind', 'Dry & calm')",
-        ("cancelled_without_arrival", "arr_delay_min"): "is_cancelled and (arr_delay_min is not null or is_arr_delayed is not null)",
-        ("non_negative", "delay_causes"): "least(carrier_delay_min, weather_delay_min, nas_delay_min, security_delay_min, late_aircraft_delay_min) < 0",
-        ("accepted_range", "on_time_pct"): "on_time_pct not between 0 and 100",
-        ("accepted_values", "cause"): "cause not in ('Carrier', 'Weather', 'National Air System', 'Security', 'Late aircraft')",
-    }
-    lines = [
-        line(r.check, r.table, r.column,
-             f"select count(*) from {source[r.table]} where "
-             + (f"{r.column} is null" if r.check == "not_null" else wheres[r.check, r.column]))
-        for r in quality.ROW_RULES
-    ]
-    lines += [
-        line("unique", table, c, f"select count({c}) - count(distinct {c}) from {source[table]}")
-        for table, c in quality.UNIQUE.items()
-    ]
-    lines += [
-        line("relationships", child, key,
-             f"select count(*) from {source[child]} x where {key} is not null and not exists (select 1 from {source[parent]} p where p.{pk} = x.{key})")
-        for child, key, parent, pk in quality.RELATIONSHIPS
-    ]
-    lines.append(line("same_row_count", "fct_flights", "*",
-                      "select if((select count(*) from flights) = (select count(*) from facts), 0, 1)"))
+    lines = []
+    for check, table, source, column, what in _SUITE:
+        if check == "same_row_count":
+            count = what
+        elif what == "=":
+            count = f"select count(*) from (select {column} from {source} where {column} is not null group by 1 having count(*) > 1)"
+        else:
+            count = f"select count(*) from {source} where {what}"
+        lines.append(f"select '{check}' as check_name, '{table}' as table_name, '{column}' as column_name, ({count})::bigint as violations")
     return " union all ".join(lines)
 
 
 @query(_suite_sql())
 def q12_quality_report(t: Tables) -> DataFrame:
     return quality.report(_checked_tables(t))
+
+
+# --- checks that fire: violations planted in rows derived from the bound flights ---------------
+
+
+@query("""select count(*) as rows, count(*) filter (where is_cancelled and (arr_delay is not null)) as violations
+    from (select is_cancelled or distance_miles > 900 as is_cancelled, arr_delay_min as arr_delay from facts)""")
+def q06_planted_arrivals(t: Tables) -> DataFrame:
+    """Long flights are called cancelled although they arrived."""
+    planted = t.facts().withColumn("is_cancelled", F.col("is_cancelled") | (F.col("distance_miles") > 900))
+    return summary(planted, quality.arrival_after_cancellation())
+
+
+@query("""select count(*) as rows, count(*) filter (where least(carrier_delay_min - 5, weather_delay_min, nas_delay_min,
+    security_delay_min, late_aircraft_delay_min) < 0) as violations from facts""")
+def q07_planted_causes(t: Tables) -> DataFrame:
+    """The first cause is lowered below zero for short delays."""
+    planted = t.facts().withColumn("carrier_delay_min", F.col("carrier_delay_min") - 5)
+    return summary(planted, quality.negative_cause())
+
+
+@query("""select count(*) as rows, count(*) filter (where not (crs_dep_time + 500 between 0 and 2400) or not (dep_time between 0 and 2400)
+    or not (crs_arr_time between 0 and 2400) or not (arr_time between 0 and 2400)) as violations from b_flights""")
+def q09_planted_clock(t: Tables) -> DataFrame:
+    """Planned departures five hours on, beyond the end of the day."""
+    return quality.hhmm_summary(t.bronze_flights().withColumn("crs_dep_time", F.col("crs_dep_time").cast("int") + 500))
+
+
+@query("""select count(*) as rows, count(distinct airport_code) as codes,
+    count(*) filter (where not (latitude + 38 between 18 and 72) or not (longitude between -170 and -60)) as violations from seed_hubs""")
+def q10_planted_coordinates(t: Tables) -> DataFrame:
+    """Hubs moved north, some of them out of the covered area."""
+    return quality.seed_summary(t.hubs().withColumn("latitude", F.col("latitude") + 38))

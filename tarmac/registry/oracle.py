@@ -204,21 +204,25 @@ TABLES = {
 _NAMES = re.compile(r"\b(" + "|".join(TABLES) + r")\b")
 
 
-def with_tables(sql: str) -> str:
-    """Prefix ``sql`` with the common tables it names, directly or through others."""
+def with_tables(sql: str, **changed: str) -> str:
+    """Prefix ``sql`` with the common tables it names, directly or through others.
+
+    ``changed`` puts a condition on the rows of some tables.
+    """
+    tables = {**TABLES, **{n: f"select * from ({TABLES[n]}) where {c}" for n, c in changed.items()}}
     needed: list[str] = []
 
     def visit(text: str) -> None:
         for name in _NAMES.findall(text):
-            if name not in needed and TABLES[name] is not text:
-                visit(TABLES[name])
+            if name not in needed and tables[name] is not text:
+                visit(tables[name])
                 if name not in needed:
                     needed.append(name)
 
     visit(sql)
     if not needed:
         return sql
-    common = ",\n".join(f"{name} as ({TABLES[name]})" for name in needed)
+    common = ",\n".join(f"{name} as ({tables[name]})" for name in needed)
     body = sql.strip()
     joined = f",\n{body[4:].lstrip()}" if body.lower().startswith("with ") else f"\n{body}"
     return f"with {common}{joined}"

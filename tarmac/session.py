@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -30,6 +31,12 @@ def builder(app: str = "tarmac") -> SparkSession.Builder:
     return b
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process; ``local-cluster`` has processes of its own."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -42,12 +49,33 @@ def shared_folder(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not is_local(spark):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tarmac-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+_seen: set[str] = set()
+
+
+def application_folder(spark: SparkSession) -> str:
+    """Where this application keeps what it derives; removed when it ends."""
+    app = spark.sparkContext.applicationId
+    folder = os.path.join(shared_folder(spark), "tarmac", app)
+    if app not in _seen:
+        _seen.add(app)
+        atexit.register(clear_scratch, spark, folder)
+    return folder
+
+
+def clear_scratch(spark: SparkSession, folder: str | None = None) -> None:
+    """Remove the application's folder, on whatever file system it is; a stopped session leaves it."""
+    if spark.sparkContext._jsc is None or spark.sparkContext._jsc.sc().isStopped():
+        return
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder or application_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, never reused path below the shared folder."""
-    return os.path.join(shared_folder(spark), "tarmac", f"{name}-{uuid.uuid4().hex}")
+    """A new, never reused path in the application's folder."""
+    return os.path.join(application_folder(spark), f"{name}-{uuid.uuid4().hex}")

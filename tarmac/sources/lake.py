@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Collection
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarmac.schemas import BRONZE_FLIGHTS, BRONZE_WEATHER
+from tarmac.sources.versions import drop_path, read_snapshot, read_version
 
 MARTS = [
     "mart_kpis_monthly", "mart_carrier_monthly", "mart_airport_daily", "mart_route_monthly",
@@ -23,26 +25,42 @@ def bronze_path(lake: str, name: str) -> str:
     return f"{lake}/bronze/{name}"
 
 
-def table_path(lake: str, layer: str, name: str) -> str:
-    return f"{lake}/{layer}/{name}"
+def write_month_partitions(df: DataFrame, path: str, emptied: Collection[tuple[int, int]] = ()) -> None:
+    """Replace the months found in ``df``; other months stay, except those of ``emptied`` that ``df`` has no row of.
 
-
-def write_month_partitions(df: DataFrame, path: str, rebalance: bool = False) -> None:
-    """Replace the months found in ``df``; other months stay.
-
-    Rebalancing by month costs a shuffle. It pays where a task holds a small slice of
-    a month, and splits a month too large for one file; where a task holds whole months,
-    as with zipped extracts, it is left out. Folder names keep the zero-padded month.
+    Rows are brought together by month; a large month is split into several files, a month
+    in one unsplittable extract included. Folder names keep the zero-padded month.
     """
+    spark = df.sparkSession
+    before = month_stamps(spark, path) if emptied else {}
     padded = df.withColumn("month", F.lpad(F.col("month").cast("string"), 2, "0"))
-    if rebalance:
-        padded = padded.hint("rebalance", "year", "month")
     (
-        padded.write.mode("overwrite")
+        padded.hint("rebalance", "year", "month").write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year", "month")
         .parquet(path)
     )
+    if before:
+        after = month_stamps(spark, path)
+        for year, month in emptied:
+            if (year, month) in before and before[year, month] == after.get((year, month)):
+                drop_path(spark, f"{path}/year={year}/month={month:02d}")
+
+
+def month_stamps(spark: SparkSession, path: str) -> dict[tuple[int, int], str]:
+    """A stamp of every month's files: names, sizes and times. A listing, no data is read."""
+    try:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+        if "year" not in files.columns:
+            return {}
+        mark = F.concat_ws("|", F.element_at(F.split("path", "/"), -1), "length", F.unix_micros("modificationTime"))
+        stamps = files.groupBy(F.col("year").cast("int"), F.col("month").cast("int")).agg(
+            F.sha2(F.array_join(F.array_sort(F.collect_list(mark)), ","), 256))
+        return {(r[0], r[1]): r[2] for r in stamps.collect()}
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
 
 
 def present_months(spark: SparkSession, path: str) -> DataFrame:
@@ -61,27 +79,28 @@ def read_bronze(spark: SparkSession, lake: str, name: str) -> DataFrame:
     return spark.read.schema(BRONZE[name]).parquet(bronze_path(lake, name))
 
 
-def read_foreign_bronze(spark: SparkSession, lake: str, name: str) -> DataFrame:
-    """Bronze written by another tool, whose column types drift between months.
+def adopt_bronze(spark: SparkSession, source: str, lake: str, name: str) -> None:
+    """Bronze of another tool, whose column types drift between files, into this lake's bronze.
 
-    Months whose files share a schema are read together, cast to the contract and
-    united by name, so there are as many scans as schemas. Footers are read once per
-    month. Nanosecond timestamps, which the reader would refuse, arrive as integers
-    and are scaled; the session setting for that stays on, as scans are lazy.
+    Files of one schema are read together, cast to the contract and united by name, so
+    there are as many scans as schemas. Nanosecond timestamps arrive as integers and are
+    scaled; the session setting for that holds for this job only.
     """
-    root = bronze_path(lake, name)
-    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    root, key = bronze_path(source, name), "spark.sql.legacy.parquet.nanosAsLong"
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(root)
-    folders = [r.folder for r in files.select(
-        F.regexp_replace("path", r"/[^/]*$", "").alias("folder")).distinct().orderBy("folder").collect()]
-    same_schema: dict[str, list[str]] = defaultdict(list)
-    for folder in folders:
-        same_schema[spark.read.parquet(folder).schema.json()].append(folder)
-    scans = [spark.read.option("basePath", root).parquet(*paths) for paths in same_schema.values()]
-    return reduce(
-        lambda a, b: a.unionByName(b, allowMissingColumns=True),
-        [conform(scan, BRONZE[name]) for scan in scans],
-    )
+    paths = [r.path for r in files.select("path").orderBy("path").collect()]
+    own = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        same_schema: dict[str, list[str]] = defaultdict(list)
+        for path in paths:
+            same_schema[spark.read.parquet(path).schema.json()].append(path)
+        scans = [spark.read.option("basePath", root).parquet(*some) for some in same_schema.values()]
+        rows = reduce(
+            lambda a, b: a.unionByName(b, allowMissingColumns=True), [conform(scan, BRONZE[name]) for scan in scans])
+        write_month_partitions(rows, bronze_path(lake, name))
+    finally:
+        spark.conf.set(key, own)
 
 
 def conform(df: DataFrame, contract: T.StructType) -> DataFrame:
@@ -107,9 +126,16 @@ def conform(df: DataFrame, contract: T.StructType) -> DataFrame:
 
 
 def read_table(spark: SparkSession, lake: str, layer: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(lake, layer, name))
+    """A table of the last complete build; tables by month have the partition column ``ym``."""
+    snapshot = read_snapshot(spark, lake)
+    if snapshot is None:
+        raise FileNotFoundError(f"no complete build in {lake}")
+    return read_version(spark, lake, snapshot, layer, name)
 
 
 def read_marts(spark: SparkSession, lake: str) -> dict[str, DataFrame]:
-    """The seven marts by name."""
-    return {name: read_table(spark, lake, "gold", name) for name in MARTS}
+    """The seven marts by name, all of one build."""
+    snapshot = read_snapshot(spark, lake)
+    if snapshot is None:
+        raise FileNotFoundError(f"no complete build in {lake}")
+    return {name: read_version(spark, lake, snapshot, "gold", name) for name in MARTS}

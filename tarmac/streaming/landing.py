@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tarmac.plans.ingest import bronze_flights
@@ -16,8 +17,9 @@ def stream_extracts(
     """Load every zipped extract that has arrived since the last run, then stop.
 
     The checkpoint remembers the files, which makes the load incremental; a replayed
-    batch replaces the same months, which makes it idempotent. A corrected extract
-    has to land under a new name, or go through the forced batch ingest.
+    batch replaces the same months, which makes it idempotent. The next build finds the
+    new months by their files. Extracts without a month in their name are left out. A corrected
+    extract has to land under a new name, or go through the forced batch ingest.
     """
     files = (
         spark.readStream.format("binaryFile")
@@ -28,7 +30,8 @@ def stream_extracts(
     )
 
     def load(batch: DataFrame, _: int) -> None:
-        write_month_partitions(bronze_flights(batch), bronze_path(lake, "flights"))
+        dated = bronze_flights(batch).filter(F.col("year").isNotNull())
+        write_month_partitions(dated, bronze_path(lake, "flights"))
 
     return (
         unzip_extracts(files)
