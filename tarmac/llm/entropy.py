@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.tables import chunks, widened
+from tarmac.llm.words import mixed
 
 ORDER = 5
 BITS = 20
@@ -40,8 +41,7 @@ def cells(symbols: np.ndarray) -> list[np.ndarray]:
     for k in range(ORDER):
         shifted = np.concatenate([np.full(min(k, len(symbols)), 32, np.uint8), symbols[:max(0, len(symbols) - k)]])
         code = code + (shifted.astype(np.uint64) + np.uint64(1)) * STEPS[k]
-        mixed = (code ^ (code >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        out.append((mixed >> np.uint64(64 - BITS)).astype(np.int64) + k * CELLS)
+        out.append((mixed(code) >> np.uint64(64 - BITS)).astype(np.int64) + k * CELLS)
     return out
 
 
