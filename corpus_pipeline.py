@@ -33,7 +33,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near copies (five words, 0.8) the document with the smallest ``doc_id`` stays.
 
-    Rows without words are in no class and stay; of equal rows one stays.
+    Rows without words are in no class and stay. Equal rows share their ``doc_id`` and stay or go together.
     """
     classes = ngram_join.near_duplicates(docs, ngram_join.Rule(width=5, percent=80)).filter("n_shingles > 0")
     gone = settle(classes.filter(F.col("doc_id") != F.col("component_id")).select(
