@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tarmac import operators as op
 from tarmac.operators import checks
+from tarmac.operators import summary
 from tarmac.plans import quality
 
 
@@ -120,8 +121,18 @@ def test_bronze_and_weather_checks_find_planted_rows(spark):
 
     assert quality.hhmm_summary(flights(spark, {}, {"arr_time": 2401}, {"dep_time": None})).first() == (3, 1)
     assert tuple(quality.seed_summary(seeds.hub_airports(spark)).first()) == (30, 30, 0)
+    moved = seeds.hub_airports(spark).replace({33.6407: 73.0}, subset=["latitude"]).withColumn(
+        "longitude", F.when(F.col("airport_code") == "DFW", 10.0).otherwise(F.col("longitude")))
+    off = [r for r in moved.collect() if not 18 <= r.latitude <= 72 or not -170 <= r.longitude <= -60]
+    assert off and quality.seed_summary(moved).first().violations == len(off)
     hours = spark.createDataFrame([("ATL", datetime(2025, 2, 1 + h // 24, h % 24)) for h in range(28 * 24)], "airport_code string, weather_hour timestamp_ntz")
     hubs = seeds.hub_airports(spark)
     assert quality.incomplete_weather(hours, hubs).count() == 0
     assert quality.incomplete_weather(hours.union(hours.limit(1)), hubs).first().rows == 673
     assert quality.incomplete_weather(hours.filter("weather_hour > '2025-02-01'"), hubs).first().expected == 672
+
+
+def test_cancelled_flights_that_arrived_are_found(spark):
+    rows = [(True, None, None), (True, 3.0, None), (True, None, False), (False, 3.0, True), (None, 1.0, True)]
+    facts = spark.createDataFrame(rows, "is_cancelled boolean, arr_delay_min double, is_arr_delayed boolean")
+    assert summary(facts, quality.arrival_after_cancellation()).first() == (5, 2)

@@ -10,11 +10,11 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_every_query_has_sql_and_a_survey_id():
-    queries, oracles = contract.queries(), contract.oracle_sql()
-    assert set(queries) == set(oracles)
+    queries, oracles = contract.QUERIES, contract.ORACLES
+    assert set(queries) == set(oracles) and set(queries) <= set(contract.queries())
     assert all(re.match(r"[a-z]\d\d_[a-z0-9_]+$", key) for key in queries)
     for prefix, n in (("m", 14), ("d", 14), ("q", 12)):
-        assert [f"{prefix}{i:02d}" for i in range(1, n + 1)] == sorted(k[:3] for k in queries if re.match(prefix + r"\d", k))
+        assert [f"{prefix}{i:02d}" for i in range(1, n + 1)] == sorted({k[:3] for k in queries if re.match(prefix + r"\d", k)})
 
 
 def test_entry_runs(spark):
@@ -41,3 +41,19 @@ def test_date_filters_reach_the_scan_through_the_dedup(spark):
     df = stg_flights(Tables(spark, SF).bronze_flights()).filter("flight_date = date '2024-01-05'").select("origin")
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Window") < plan.index("2024-01-05") or "19727" in plan[plan.index("Window"):]
+
+
+@pytest.mark.parametrize("key", [
+    "d06_airline_ranking", "d07_hub_month", "d08_most_delayed_hubs", "d09_most_punctual_hubs", "d13_busiest_routes",
+    "d14_least_punctual_busy_routes",
+])
+def test_a_month_is_read_from_its_folder(spark, key):
+    plan = contract.queries()[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    filters = [p.split("]")[0] for p in plan.split("PartitionFilters: [")[1:]]
+    assert any("ym" in f and "202402" in f for f in filters), filters
+
+
+def test_the_quality_report_scans_each_large_table_few_times(spark):
+    df = contract.queries()["q12_quality_report"](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") <= 22 and plan.count("silver-") <= 6
