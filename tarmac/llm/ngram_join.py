@@ -3,8 +3,8 @@
 Two texts link when the Jaccard similarity of their sets of n-grams reaches a percentage,
 compared in whole numbers. For a set of n n-grams in one global order, any partner shares
 one of the first n - ceil(p n / 100) + 1: the prefix. Sets with the same prefix and size
-form one group; the join runs over groups, filters pairs of groups by size, and expands and
-verifies their members, whole texts against whole texts.
+form one group; the join runs over groups, filters pairs by size and by the place of the shared
+n-gram, and expands and verifies their members, whole texts against whole texts.
 
 *Order.* N-grams met often stand last, so that passages many texts share are in no
 prefix unless little else is there. The frequent ones are found over all texts: repeated within
@@ -13,8 +13,8 @@ travels to the tasks; the least count rises until it fits). The order decides ho
 there is to compare, never what links.
 
 *No all-pairs.* Only connections matter. First every set is compared with one pivot, the
-smallest set it shares a prefix n-gram with: a forest whose trees hold nearly all of a
-class of copies. Then, per n-gram whose sets lie in several trees, the sets outside the
+set with the fewest n-grams before one they share, in a class of copies the least changed:
+trees that hold nearly all of a class. Then, per n-gram whose sets lie in several trees, the sets outside the
 n-gram's main tree are compared with the sets of other trees. Pairs within a tree are never made.
 
 Null, empty and blank texts have an empty set and link with nothing. Equal sets are one set,
@@ -30,7 +30,7 @@ from hashlib import blake2b
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.components import components
@@ -183,8 +183,15 @@ def _verified(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def _sizes_fit(n: str, m: str, rule: Rule):
-    return (F.col(n) * 100 >= F.col(m) * rule.percent) & (F.col(m) * 100 >= F.col(n) * rule.percent)
+def _may_link(rule: Rule) -> Column:
+    """Whether two sets of ``n`` and ``m`` n-grams can link that share one at the places ``pos`` and ``pos_b``.
+
+    Sizes have to be near. At the first n-gram they share, all they share lies from there on in
+    both, so what is left in either bounds it. Linked sets pass at their first shared n-gram.
+    """
+    p, n, m = rule.percent, F.col("n"), F.col("m")
+    sizes = (n * 100 >= m * p) & (m * 100 >= n * p)
+    return sizes & ((100 + p) * F.least(n - F.col("pos"), m - F.col("pos_b")) >= p * (n + m))
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
@@ -195,7 +202,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.min("grp").alias("grp")), "distinct-sets")
 
     # The join over groups: n-grams in the prefixes of several groups.
-    postings = some.select("grp", F.explode("prefix").alias("gram"))
+    postings = some.select("grp", F.posexplode("prefix").alias("pos", "gram"))
     meeting = postings.groupBy("gram").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).filter(
         "low < high").select("gram")
     joined = postings.join(settle(meeting, "meeting"), "gram").distinct()
@@ -205,34 +212,35 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     fellows = members.groupBy("grp").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).filter(
         "low < high").select("grp")
     expanded = settle(
-        joined.join(members, "grp").select("gram", "digest", "n")
-        .union(members.join(fellows, "grp").select(F.col("grp").alias("gram"), "digest", "n")), "postings")
-    pivoted = expanded.groupBy("gram").agg(F.min("digest").alias("pivot"))
-    shared = expanded.join(pivoted, "gram")
+        joined.join(members, "grp").select("gram", "digest", "n", "pos").union(
+            members.join(fellows, "grp").select(F.col("grp").alias("gram"), "digest", "n", F.lit(0).alias("pos"))),
+        "postings")
     met = settle(sets.join(expanded.select("digest").distinct(), "digest", "left_semi"), "sets")
     texts = settle(_texts(docs, met), "texts")
 
-    # One pivot for every set: the trees.
-    pivots = shared.filter("pivot < digest").groupBy("digest").agg(F.min("pivot").alias("b"))
-    sizes = met.select(F.col("digest").alias("b"), F.col("n").alias("m"))
-    first = pivots.join(met.select("digest", "n"), "digest").join(sizes, "b").filter(_sizes_fit("n", "m", rule))
-    trees = settle(components(_verified(first.select(F.col("digest").alias("a"), "b"), texts, rule), "trees"), "trees")
+    # One pivot for every set: the one with the fewest n-grams before one they share.
+    pivots = settle(expanded.groupBy("gram").agg(
+        F.min(F.struct("pos", "digest", "n")).alias("pivot")).select("gram", "pivot.*").toDF(
+            "gram", "pos_b", "b", "m"), "pivots")
+    first = expanded.join(pivots, "gram").filter((F.col("digest") != F.col("b")) & _may_link(rule))
+    chosen = first.groupBy(F.col("digest").alias("a")).agg(F.min(F.struct("pos_b", "b"))["b"].alias("b"))
+    trees = components(_verified(settle(chosen, "chosen"), texts, rule), "trees")
 
     # Sets of other trees than the main one of an n-gram they share.
     placed = settle(
         expanded.join(trees, F.col("digest") == F.col("node"), "left")
-        .select("gram", "digest", "n", F.coalesce("component", "digest").alias("tree")), "placed")
+        .select("gram", "digest", "n", "pos", F.coalesce("component", "digest").alias("tree")), "placed")
     per_tree = placed.groupBy("gram", "tree").agg(F.count("*").alias("size"))
     open_grams = per_tree.groupBy("gram").agg(
         F.max(F.struct("size", "tree"))["tree"].alias("main"), F.count("*").alias("trees")).filter("trees > 1")
     opened = settle(placed.join(settle(open_grams.drop("trees"), "open"), "gram"), "opened")
-    strays = opened.filter("tree != main").select("gram", F.col("digest").alias("a"), "n", F.col("tree").alias("tree_a"))
-    others = opened.select("gram", F.col("digest").alias("b"), F.col("n").alias("m"), F.col("tree").alias("tree_b"),
-                           (F.col("tree") == F.col("main")).alias("in_main"))
+    strays = opened.filter("tree != main").select("gram", F.col("digest").alias("a"), "n", "pos", F.col("tree").alias("tree_a"))
+    others = opened.select(
+        "gram", F.col("digest").alias("b"), F.col("n").alias("m"), F.col("pos").alias("pos_b"), F.col("tree").alias("tree_b"),
+        (F.col("tree") == F.col("main")).alias("in_main"))
     crossing = (
         strays.join(others, "gram")
-        .filter((F.col("tree_a") != F.col("tree_b")) & (F.col("in_main") | (F.col("a") < F.col("b")))
-                & _sizes_fit("n", "m", rule))
+        .filter((F.col("tree_a") != F.col("tree_b")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & _may_link(rule))
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     )
     bridges = _verified(settle(crossing, "crossing"), texts, rule)
