@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import bpe, entropy, licenses, lines, mixing, ngram_join, pii, pivots, spots, toxicity
+from tarmac.llm import bpe, entropy, licenses, lines, mixing, ngram_join, oracle, pii, pivots, spots, toxicity
 from tarmac.llm.book import ORACLES, QUERIES, query
 from tarmac.llm.tables import read
 
@@ -23,7 +23,7 @@ def op1_spot_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spots.with_next(read(spark, sf_dir, "documents"))
 
 
-@query()
+@query(oracle.NGRAM_JOIN)
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(read(spark, sf_dir, "documents"), ngram_join.Rule(width=4, percent=85))
 
@@ -71,7 +71,7 @@ def op9_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivots.near_vectors(read(spark, sf_dir, "embeddings"))
 
 
-@query()
+@query(oracle.LINE_DEDUP)
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return lines.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
