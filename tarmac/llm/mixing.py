@@ -37,6 +37,12 @@ def prefer_longer(size: Column) -> Column:
     return F.floor(size * F.lit(FULL_PREFERENCE) / (size + F.lit(USUAL_SIZE))).cast("long")
 
 
+def draw(seed: int) -> Column:
+    """48 random bits of a document, from a digest of its ``doc_id`` and text: the same in every run and engine."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("doc_id").cast("string"), "text"))
+    return F.conv(F.substring(digest, 1, 12), 16, 10).cast("long")
+
+
 def targets(sizes: DataFrame, max_copies: int = 3, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
     """Per source: its words and its target. One row per source; sources weigh ``weights`` in turn, null last.
 
@@ -82,7 +88,7 @@ def plan(docs: DataFrame, max_copies: int = 3, weights: tuple[int, ...] = (1, 2,
         docs.select(
             "doc_id", "source",
             F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-            F.xxhash64(F.lit(seed), "doc_id", "text").alias("draw"),
+            draw(seed).alias("draw"),
         )
         .withColumn("preference", preference(F.col("size")))
     )
@@ -110,7 +116,7 @@ def rank_columns(max_copies: int) -> list[Column]:
     expected = F.greatest(F.lit(0.0), F.least(F.lit(float(max_copies)), expected))
     whole = F.floor(expected + F.lit(1e-9))
     p = F.greatest(F.lit(0.0), expected - whole)
-    u = (F.pmod(F.col("draw"), F.lit(1 << 48)) + 0.5) / float(1 << 48)
+    u = (F.col("draw") + 0.5) / float(1 << 48)
     odds = u / (1 - u) * F.try_divide(1 - p, p)
     last = (1 << (BITS * ROUNDS)) - 1
     rank = F.when(p > 0, F.least(F.lit(last), F.floor(odds / (1 + odds) * (last + 1)))).otherwise(F.lit(last + 1))
@@ -178,7 +184,7 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     held = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     sized = (
         docs.select(held, F.col("source"), size.alias("size"),
-                    F.xxhash64(F.lit(seed), "doc_id", "text").alias("draw"))
+                    draw(seed).alias("draw"))
         .withColumn("preference", preference(F.col("size")))
     )
     copies = _copies(sized, cuts, max_copies).filter("copies > 0")

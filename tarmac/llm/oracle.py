@@ -29,3 +29,36 @@ r as (select doc_id, doc_id as root from documents union select e.y, r.root from
 select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, m.root as component_id
 from documents d left join n on n.doc_id = d.doc_id join (select doc_id, min(root) as root from r group by 1) m on m.doc_id = d.doc_id
 """
+
+MIXING = r"""
+with sized as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
+         ('0x' || left(md5(concat_ws('|', '7', doc_id::varchar, text)), 12))::bigint as draw from documents),
+liked as (select *, floor(size * 1000 / (size + 300))::bigint as preference from sized),
+sources as (select source, sum(size)::bigint as words, sum(size * preference)::bigint as liking from liked group by source),
+weighed as (select *, 3 * words as most, 1 + (row_number() over (order by source nulls last) - 1) % 3 as weight,
+                   sum(words) over () as total from sources),
+levels as (select *, row_number() over (order by most / weight, weight, source nulls last) as turn,
+                  (total - coalesce(sum(most) over (order by most / weight, weight, source nulls last rows between unbounded preceding and 1 preceding), 0))::double
+                  / sum(weight) over (order by most / weight, weight, source nulls last rows between current row and unbounded following) as level from weighed),
+share as (select arg_min(level, turn) as level from levels where weight * level <= most),
+aims as (select l.source, l.words, l.liking, least(l.most::double, l.weight * s.level) as target from levels l, share s),
+expected as (
+  select k.*, a.words, a.target, a.target / a.words as ratio, a.liking / a.words as usual
+  from liked k join aims a on a.source is not distinct from k.source),
+copies as (select *, greatest(0.0::double, least(3.0::double, coalesce(ratio, 0) + least(coalesce(ratio, 0), 3.0::double - coalesce(ratio, 0))
+                  * (preference - coalesce(usual, 0)) / 1000)) as want from expected),
+parts as (select *, floor(want + 1e-9)::bigint as certain, greatest(0.0::double, want - floor(want + 1e-9)) as p from copies),
+odds as (select *, case when p > 0 then ((draw + 0.5::double) / 281474976710656.0::double)
+                  / (1 - (draw + 0.5::double) / 281474976710656.0::double) * ((1 - p) / p) end as odds from parts),
+ranked as (select *, case when p > 0 then least(1073741823, floor(odds / (1 + odds) * 1073741824))::bigint end as rank from odds),
+certain as (select source, sum(certain * size)::double as taken from ranked group by source),
+steps as (select source, rank, sum(size) as size from ranked where rank is not null group by source, rank),
+sums as (select s.source, s.rank, c.taken + sum(s.size) over (partition by s.source order by s.rank) - s.size / 2 as middle
+         from steps s join certain c on c.source is not distinct from s.source),
+picked as (select s.source, max(s.rank) as last from sums s join aims a on a.source is not distinct from s.source
+           where s.middle <= a.target group by s.source)
+select r.doc_id, r.size, r.words as source_size, r.target,
+       (r.size * (r.certain + case when r.rank <= p.last then 1 else 0 end))::bigint as taken
+from ranked r left join picked p on p.source is not distinct from r.source
+"""

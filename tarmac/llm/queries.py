@@ -38,7 +38,7 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read(spark, sf_dir, "documents"), tokenizer_path(), "doc_id")
 
 
-@query()
+@query(oracle.MIXING)
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(read(spark, sf_dir, "documents"))
 
