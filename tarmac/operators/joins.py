@@ -7,16 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a narrow lookup that every executor can hold: about 100 MB of weather hours.
-BROADCAST_ROWS = 1_000_000
+# What every executor can hold beside its work, and what a row of a narrow lookup takes at most.
+BROADCAST_BYTES = 128 << 20
+ROW_BYTES = 128
 
 
-def fits_broadcast(keys: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Whether a lookup with these (possibly repeated) keys has at most ``limit`` rows.
+def fits_broadcast(keys: DataFrame, limit: int = BROADCAST_BYTES, row_bytes: int = ROW_BYTES) -> bool:
+    """Whether a lookup with these (possibly repeated) keys and rows of ``row_bytes`` takes at most ``limit`` bytes.
 
     Runs a job over the key columns alone; repeats are combined before the shuffle.
     """
-    return keys.distinct().count() <= limit
+    return keys.distinct().count() * row_bytes <= limit
 
 
 def join_lookup(

@@ -7,6 +7,7 @@ bounded by the number of groups. Raw facts go through ``latest_by`` only.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,9 +39,15 @@ def change_from_previous(value: str, order: str) -> Column:
 
 
 def at_least_median(df: DataFrame, value: str, within: Sequence[str]) -> DataFrame:
-    """Rows at or above the exact, interpolated median of their partition."""
-    median = F.percentile(value, F.lit(0.5)).over(Window.partitionBy(*within))
-    return df.withColumn("_median", median).filter(F.col(value) >= F.col("_median")).drop("_median")
+    """Rows at or above the exact, interpolated median of their partition.
+
+    The median is an aggregate, combined by value before the shuffle, and joined back as a row
+    per partition; no partition is sorted in one task.
+    """
+    medians = df.groupBy(*[F.col(c).alias(f"_{c}") for c in within]).agg(
+        F.percentile(value, F.lit(0.5)).alias("_median"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in within])
+    return df.join(medians, same & (F.col(value) >= F.col("_median")), "left_semi")
 
 
 def top_k(df: DataFrame, value: str, tie: str, k: int) -> DataFrame:

@@ -104,6 +104,7 @@ HUBS = _schema(
     "airport_code string, airport_name string, city string, state string, latitude double, longitude double"
 )
 
+# Labels of delay causes with their columns, cancellation codes, and weather classes.
 DELAY_CAUSES = {
     "Carrier": "carrier_delay_min",
     "Weather": "weather_delay_min",

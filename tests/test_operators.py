@@ -110,7 +110,7 @@ def test_lookup_join_both_ways(spark, facts, small):
 
 def test_broadcast_needs_a_measured_bound(spark):
     keys = spark.range(100).selectExpr("id % 10 as k")
-    assert op.fits_broadcast(keys, 10) and not op.fits_broadcast(keys, 9)
+    assert op.fits_broadcast(keys, 1000, 100) and not op.fits_broadcast(keys, 999, 100)
 
 
 def test_bronze_and_weather_checks_find_planted_rows(spark):
