@@ -53,3 +53,10 @@ def test_odd_rows_pass_all_stages(spark, documents, odd, tmp_path):
         df.write.parquet(f"{tmp_path}/{table}.parquet")
     rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert rows and all(r.ids_sha256 for r in rows)
+
+
+def test_empty_tables_pass_all_stages(spark, documents, tmp_path):
+    empty = documents([]).limit(0)
+    empty.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
