@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
         .config("spark.driver.memory", "4g")
         .config("spark.sql.codegen.wholeStage", "false")  # a few rows per plan: compiling costs more
         .config("spark.sql.dataFrameQueryContext.enabled", "false")
+        .config("spark.sql.maxMetadataStringLength", "2000")  # whole paths in plans
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
