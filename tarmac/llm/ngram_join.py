@@ -67,10 +67,16 @@ def frequent(docs: DataFrame, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     kind = pa.schema([("gram", pa.int64()), ("n", pa.int64())])
 
     def repeated(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        """Empties ``held``; sorted in place, as the hashes are the largest thing a task holds."""
         if held:
-            values, n = np.unique(np.concatenate(held), return_counts=True)
+            values = np.concatenate(held)
+            held.clear()
+            values.sort()
+            starts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+            n = np.diff(np.append(starts, len(values)))
             some = n > 1
-            yield pa.RecordBatch.from_arrays([pa.array(values[some].view(np.int64)), pa.array(n[some])], schema=kind)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(values[starts[some]].view(np.int64)), pa.array(n[some])], schema=kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, seen = [], 0, set()
@@ -83,7 +89,7 @@ def frequent(docs: DataFrame, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
                     size += len(values)
             if size > HELD_HASHES:
                 yield from repeated(held)
-                held, size, seen = [], 0, set()
+                size, seen = 0, set()
         yield from repeated(held)
 
     counted = settle(
