@@ -58,7 +58,9 @@ def counts(docs: DataFrame, labels: DataFrame, held_out) -> tuple[np.ndarray, np
         labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
         .select(F.col("doc_id").alias("good_id")).distinct()
     )
-    marked = docs.select("doc_id", "text").join(good, F.col("doc_id") == F.col("good_id"), "left").select(
+    # The labels grow with the documents: a shuffled join at every size, not a broadcast while they are few.
+    marked = docs.select("doc_id", "text").join(
+        good.hint("merge"), F.col("doc_id") == F.col("good_id"), "left").select(
         "text", F.col("good_id").isNotNull().alias("good"))
     kind = pa.schema([("cell", pa.int32()), ("n", pa.int64()), ("good", pa.int64())])
 
