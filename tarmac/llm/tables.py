@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tarmac.session import scratch_path
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
