@@ -1,13 +1,15 @@
 """Near-duplicate vectors by a pivot-permutation index.
 
-Each vector is described by its ``KEPT`` nearest of M reference points, nearest first.
-The points are a sample of the vectors; M grows with the root of their number up to
-``MAX_POINTS``, which keeps the inverted lists short. A list belongs to two points: it holds the
+Each vector is described by its nearest of M reference points, nearest first. The points
+are a sample of the vectors; M grows with the root of their number up to ``MAX_POINTS``,
+which keeps the inverted lists short. The more points, the more of them lie between two
+near vectors, so the number kept grows with M (``pivots_kept``), and what share of the close pairs
+is found does not fall as the table grows. A list belongs to two points: it holds the
 vectors that have both among their nearest, so vectors that meet in a list share at
 least two pivots. A pair is looked at in one of its lists, that of the two smallest shared
 pivots, and verified by its cosine in double precision. Pairs below the threshold never
 link; a close pair is missed only if it shares fewer than two pivots (the recall is measured
-against brute force in the tests).
+against brute force in the tests, also with ``MAX_POINTS`` points).
 
 Lists longer than ``BLOCK`` are dealt in blocks by a hash, and every two blocks meet in
 a task of their own, so no list is gathered in one place. A task reports per vector its
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.components import components
-from tarmac.llm.tables import settle
+from tarmac.llm.tables import settle, widened
 
 MAX_POINTS = 2_048
 KEPT = 6
@@ -52,13 +54,26 @@ def unit_vectors(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     return out, fits
 
 
+def pivots_kept(points: int) -> int:
+    """How many of so many points describe a vector: one more with each doubling."""
+    return max(KEPT, 1 + int(np.ceil(np.log2(max(points, 1)))))
+
+
+def points_wanted(n: int) -> int:
+    """As many points as keep the lists of ``n`` vectors about ``LIST_LENGTH`` long."""
+    wanted, before = 24, 0
+    while wanted != before:
+        before, kept = wanted, pivots_kept(wanted)
+        wanted = int(min(MAX_POINTS, max(wanted, np.sqrt(n * kept * (kept - 1) / LIST_LENGTH))))
+    return wanted
+
+
 def reference_points(vectors: DataFrame, width: int) -> np.ndarray:
-    """Vectors chosen by a hash of their values: as many as keep the lists about ``LIST_LENGTH`` long.
+    """Vectors chosen by a hash of their values, ``points_wanted`` of them.
 
     Nearly equal points tell nothing apart; only the first of them stays.
     """
-    n = vectors.count()
-    wanted = int(min(MAX_POINTS, max(24, np.sqrt(n * KEPT * (KEPT - 1) / LIST_LENGTH))))
+    wanted = points_wanted(vectors.count())
     some = vectors.select("embedding").distinct().orderBy(F.xxhash64("embedding"), "embedding").limit(2 * wanted)
     points, fits = unit_vectors(some.toArrow().column(0).combine_chunks(), width)
     points = points[fits]
@@ -70,24 +85,20 @@ def reference_points(vectors: DataFrame, width: int) -> np.ndarray:
 
 
 def index(vectors: DataFrame, points: np.ndarray, width: int) -> DataFrame:
-    """``uid``, ``unit`` and ``nearest``, the pivots of every vector that has a direction; nearest first."""
-    kind = pa.schema([("uid", pa.int64()), ("unit", pa.list_(pa.float64())), ("nearest", pa.list_(pa.int32()))])
-    kept = min(KEPT, len(points))
+    """``uid``, ``embedding`` as given and ``nearest``, the pivots of every vector that has a direction; nearest first."""
+    kept = min(pivots_kept(len(points)), len(points))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             units, fits = unit_vectors(batch.column("embedding"), width)
-            units = units[fits]
-            likeness = units @ points.T
+            likeness = units[fits] @ points.T
             nearest = np.argsort(-likeness, axis=1, kind="stable")[:, :kept].astype(np.int32)
-            offsets = lambda k: pa.array(np.arange(len(units) + 1) * k, pa.int32())
-            yield pa.RecordBatch.from_arrays([
-                batch.column("uid").filter(pa.array(fits)),
-                pa.ListArray.from_arrays(offsets(width), pa.array(units.ravel())),
-                pa.ListArray.from_arrays(offsets(kept), pa.array(nearest.ravel())),
-            ], schema=kind)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(nearest) + 1) * kept, pa.int32()), pa.array(nearest.ravel()))
+            some = batch.filter(pa.array(fits))
+            yield pa.RecordBatch.from_arrays([*some.columns, lists], names=["uid", "embedding", "nearest"])
 
-    return vectors.select("uid", "embedding").mapInArrow(run, "uid long, unit array<double>, nearest array<int>")
+    rows = vectors.select("uid", "embedding")
+    return rows.mapInArrow(run, widened(rows, nearest="array<int>"))
 
 
 def lists(indexed: DataFrame) -> DataFrame:
@@ -121,7 +132,7 @@ def local_classes(linked: np.ndarray) -> np.ndarray:
 
 def block_links(rows: pa.Table, threshold: float, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of one block pair of a list: vectors with links, their local class, and their number of links."""
-    units = rows.column("unit").combine_chunks().flatten().to_numpy().reshape(-1, width)
+    units, _ = unit_vectors(rows.column("embedding").combine_chunks(), width)
     pivots = rows.column("nearest").combine_chunks().flatten().to_numpy().reshape(len(units), -1)
     uid, own = rows.column("uid").to_numpy(), rows.column("own").to_numpy()
     i, j, p, q = (rows.column(c)[0].as_py() for c in ("i", "j", "p", "q"))

@@ -62,3 +62,37 @@ def test_empty_table(spark):
     assert pivots.near_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
     alone = pivots.near_vectors(spark.createDataFrame([(3, None, 1)], SCHEMA)).collect()
     assert [tuple(r) for r in alone] == [(3, 0, 3, True)]
+
+
+def test_recall_near_the_threshold_with_the_most_points():
+    """Pairs at cosine 0.90 to 0.93 among ``MAX_POINTS`` points, as a table of millions of rows has them."""
+    draw = np.random.default_rng(8)
+    unit = lambda x: x / np.linalg.norm(x, axis=1)[:, None]
+    points, x, other = (unit(draw.normal(size=(n, 64))) for n in (pivots.MAX_POINTS, 1500, 1500))
+    other = unit(other - (other * x).sum(axis=1)[:, None] * x)
+    cosine = np.linspace(0.9, 0.93, 1500)[:, None]
+    kept = pivots.pivots_kept(len(points))
+    near = [np.argsort(-(v @ points.T), axis=1)[:, :kept] for v in (x, cosine * x + np.sqrt(1 - cosine ** 2) * other)]
+    shared = (near[0][:, :, None] == near[1][:, None, :]).any(axis=2).sum(axis=1)
+    assert (shared >= 2).mean() >= 0.99
+    assert pivots.points_wanted(10 ** 9) == pivots.MAX_POINTS
+
+
+def test_recall_against_brute_force_with_the_most_points(spark, monkeypatch):
+    """All of the query, its number of points forced to ``MAX_POINTS``."""
+    monkeypatch.setattr(pivots, "points_wanted", lambda n: pivots.MAX_POINTS)
+    draw = np.random.default_rng(9)
+    rows = draw.normal(size=(4200, 64))
+    rows /= np.linalg.norm(rows, axis=1)[:, None]
+    noise = draw.normal(size=(2100, 64))
+    noise -= (noise * rows[::2]).sum(axis=1)[:, None] * rows[::2]
+    noise /= np.linalg.norm(noise, axis=1)[:, None]
+    cosine = np.linspace(0.9001, 0.93, 2100)[:, None]
+    rows[1::2] = cosine * rows[::2] + np.sqrt(1 - cosine ** 2) * noise
+    rows = np.float32(rows)
+    close = truth(rows)
+    df = spark.createDataFrame([(i, r.tolist(), 0) for i, r in enumerate(rows)], SCHEMA).repartition(4)
+    found = {r.vec_id: r for r in pivots.near_vectors(df).collect()}
+    n = np.array([found[i].n_links for i in range(len(rows))])
+    assert (n <= close.sum(axis=1)).all() and close.sum() >= 4200
+    assert n.sum() / close.sum() >= 0.99
