@@ -71,3 +71,37 @@ def test_pieces_of_a_long_text_count_each_byte_once(monkeypatch):
     cut = [np.concatenate([c[k] if i == 0 else c[k][entropy.ORDER:] for i, c in enumerate(parts)])
            for k in range(entropy.ORDER)]
     assert (np.concatenate(cut) == whole).all()
+
+
+def test_every_ngram_has_its_own_count(spark, documents):
+    """More n-grams than a table of 2^20 cells could tell apart: their rows grow with the text, counts are exact."""
+    draw = np.random.default_rng(3)
+    texts = ["".join(map(chr, draw.integers(97, 123, 40_000))) for _ in range(32)]
+    docs = documents(list(enumerate(texts)))
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(32)], LABELS)
+    background, target = entropy.counts(docs, labels, toxicity.held_out)
+    n = {r.gram: r.n for r in background.rows.select("gram", "n").collect()}
+    truth = {}
+    for text in texts:
+        led = "    " + text
+        for i in range(len(text)):
+            truth[led[i:i + entropy.ORDER]] = truth.get(led[i:i + entropy.ORDER], 0) + 1
+    assert n == {int.from_bytes(gram.encode(), "big"): k for gram, k in truth.items()}
+    assert len(n) > 1_000_000
+
+
+def test_texts_that_were_not_counted(spark, documents, prose, monkeypatch):
+    """Unknown n-grams, several blocks and long texts in pieces; columns pass through."""
+    monkeypatch.setattr(entropy, "BLOCK_BYTES", 200)
+    texts = [prose(i, 25) for i in range(8)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(8)], LABELS)
+    background, target = entropy.counts(documents(list(enumerate(texts))), labels, toxicity.held_out)
+    import zlib
+    good = [zlib.crc32(str(i).encode()) % 4 != 2 for i in range(8)]
+    other = [prose(50, 30), "@@@ never seen ~~~ " + prose(3, 5), "", prose(1, 3)]
+    rows = entropy.score(documents([(i, t) for i, t in enumerate(other)]), background, target).collect()
+    assert sorted(r.text for r in rows) == sorted(other) and {r.source for r in rows} == {"src0"}
+
+    for r in rows:
+        ours, theirs = losses(texts, good, r.text) if r.text else (0, 0)
+        assert r.target_loss == pytest.approx(ours, rel=1e-5) and r.background_loss == pytest.approx(theirs, rel=1e-5)
