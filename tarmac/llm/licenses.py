@@ -4,7 +4,8 @@ Words are the runs of letters, digits and non-ASCII characters of the lower-case
 a text is searched as its words joined by single blanks. A notice that may hold k edits
 is split into k + 1 seeds: whatever the edits, one seed stays as it is (pigeonhole), so
 a text without any seed needs no further look. Around each seed a window as long as the
-notice with its edits is matched by the ``regex`` library with at most k errors.
+notice with its edits is matched by the ``regex`` library with at most k errors. Words that
+tell one license from another (``TELLING``) have to stand in the match unedited.
 
 Exact phrases are the base: every place where their words stand consecutively, reported
 whatever the fuzzy search finds. Texts are whole; null counts as empty.
@@ -39,6 +40,12 @@ NOTICES = {
     "redistribution and use in source and binary forms": "bsd",
     "mozilla public license version 2 0": "mpl-2",
 }
+TELLING = {
+    "licensed under the apache license version 2 0": ("2",),
+    "licensed under cc by nc 4 0": ("nc",),
+    "licensed under the gnu general public license version 3": ("3",),
+    "mozilla public license version 2 0": ("2",),
+}
 MAX_EDITS = {notice: max(1, len(notice) // 12) for notice in NOTICES}
 
 SPAN = "array<struct<label: string, first: bigint, last: bigint, edits: int, exact: boolean>>"
@@ -58,8 +65,9 @@ class Scanner:
         for notice, label in notices.items():
             k = max_edits[notice]
             pieces = [(s.encode(), at) for s, at in seeds(notice, k)]
-            pattern = regex.compile(f"(?b)(?:{regex.escape(notice)}){{e<={k}}}")
-            self.notices.append((label, k, len(notice), pieces, pattern))
+            pattern = regex.compile(f"(?e)(?:{regex.escape(notice)}){{e<={k}}}")
+            telling = [word.encode() for word in TELLING.get(notice, ())]
+            self.notices.append((label, 4 * k, len(notice), pieces, pattern, telling))
 
     def spans(self, joined: bytes) -> list[tuple[str, int, int, int, bool]]:
         """Label, first and last word, edits, and whether it is of the base; ``joined`` has a blank at both ends."""
@@ -78,12 +86,12 @@ class Scanner:
                 first = word_at(at)
                 found.append((label, first, first + n - 1, 0, True))
                 at = joined.find(phrase, at + 1)
-        for label, k, length, pieces, pattern in self.notices:
+        for label, slack, length, pieces, pattern, telling in self.notices:
             wanted = []
             for piece, offset in pieces:
                 at = joined.find(piece)
                 while at >= 0:
-                    wanted.append((max(0, at - offset - k), min(len(joined), at - offset + length + k)))
+                    wanted.append(_characters(joined, at - offset - slack, at - offset + length + slack))
                     at = joined.find(piece, at + 1)
             seen = -1
             for start, stop in _merged(wanted):
@@ -91,12 +99,22 @@ class Scanner:
                     before = len(match.string[:match.start()].encode())
                     inside = len(match.group().rstrip().encode())
                     first, last = word_at(start + before), word_at(start + before + max(0, inside - 1))
-                    if first > seen:
+                    if first > seen and not set(telling) - set(joined[ends[first]:ends[last + 1]].split()):
                         found.append((label, first, last, sum(match.fuzzy_counts), False))
                         seen = last
         return sorted(found)
 
 
+def _characters(joined: bytes, start: int, stop: int) -> tuple[int, int]:
+    """The range within the text, widened to whole characters."""
+    start, stop = max(0, start), min(len(joined), stop)
+    while start and joined[start] & 0xC0 == 0x80:
+        start -= 1
+    while stop < len(joined) and joined[stop] & 0xC0 == 0x80:
+        stop += 1
+    return start, stop
+
+
 def _merged(windows: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for start, stop in sorted(windows):

@@ -51,3 +51,16 @@ def test_odd_rows(documents, odd):
     rows = licenses.report(documents(odd), "doc_id").collect()
     assert len(rows) == len(odd) and all(r.labels == "" and r.n_base == 0 for r in rows)
     assert licenses.report(documents([]).limit(0), "doc_id").count() == 0
+
+
+def test_other_licenses_and_neighbours(documents):
+    texts = ["licensed under cc by sa 4 0", "licensed under cc by nd 4 0", "licensed under the gnu general public license version 2",
+             "mozilla public license version 1 1", "lisensed under cc by nc 4 0", "mozila public license version 2 0",
+             "released under the mlt licence released under the mit license",
+             "漢字 released undér thé mit license 漢字", "relea漢ed under 漢the mit license"]
+    found = {r.doc_id: r for r in licenses.scan(documents(list(enumerate(texts)))).collect()}
+    spans = {i: [(s.label, s.first, s.last, s.edits) for s in found[i].spans if not s.exact] for i in found}
+    assert not any(spans[i] for i in range(4))
+    assert spans[4] == [("cc-by-nc", 0, 6, 1)] and spans[5] == [("mpl-2", 0, 5, 1)]
+    assert spans[6] == [("mit", 0, 4, 2), ("mit", 5, 9, 0)]
+    assert spans[7] == [("mit", 1, 5, 2)] and spans[8] == [("mit", 0, 4, 2)]
