@@ -7,7 +7,7 @@ logistic curve, calibrated on labelled rows that no dictionary has seen, turns t
 into a score whose threshold is 0.3.
 
 The fit uses a bounded sample of labelled rows (``MAX_FIT_ROWS``, the first in the order
-of a hash); every whole text is scored. Null counts as empty. With labels of one kind
+of a hash, without the texts that do not fit into ``MAX_FIT_BYTES``); every whole text is scored. Null counts as empty. With labels of one kind
 only there is nothing to tell apart, and every score is 0.
 """
 
@@ -193,8 +193,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     texts, toxic, size = [], [], 0
     for row in rows.toLocalIterator():
         data = row["text"].encode()
-        if texts and size + len(data) > MAX_FIT_BYTES:
-            break
+        if size + len(data) > MAX_FIT_BYTES:
+            continue  # passed over, so one long text does not end the sample
         size += len(data)
         texts.append(data)
         toxic.append(row["toxic"] == 1)

@@ -60,3 +60,14 @@ def test_calibration_puts_the_best_cut_at_the_threshold():
     raw, y = np.array([3.0, 2, 1, 0, -1]), np.array([1.0, 1, 0, 0, 0])
     shift = toxicity.Model.calibrated(raw, y)
     assert ((1 / (1 + np.exp(-raw - shift)) >= toxicity.THRESHOLD) == y.astype(bool)).all()
+
+
+def test_long_texts_do_not_end_the_sample(spark, documents, prose, monkeypatch):
+    monkeypatch.setattr(toxicity, "MAX_FIT_BYTES", 400_000)
+    rows, marks = labelled(prose, 120)
+    assert sum(len(t) for _, t in rows) < toxicity.MAX_FIT_BYTES
+    long = [(1000 + i, "long " * 90_000) for i in range(20)]
+    plain = toxicity.fit(documents(rows), spark.createDataFrame(marks, LABELS))
+    mixed = toxicity.fit(documents(rows + long), spark.createDataFrame(marks + [(i, 1, 0) for i, _ in long], LABELS))
+    texts = [t.encode() for _, t in rows]
+    assert plain.weights is not None and (plain.scores(texts) == mixed.scores(texts)).all()
