@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import bpe, entropy, licenses, lines, mixing, ngram_join, oracle, pii, pivots, spots, suffixes, toxicity
+from tarmac.llm import bpe, entropy, licenses, lines, mixing, ngram_join, oracle, pii, pivots, spots, suffixes, toxicity, variants
 from tarmac.llm.book import ORACLES, QUERIES, query
 from tarmac.llm.tables import read
 
@@ -81,3 +81,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = suffixes.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(read(spark, sf_dir, "documents").select("doc_id", "text"))
