@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import bpe, entropy, licenses, lines, mixing, ngram_join, oracle, pii, pivots, spots, suffixes, toxicity, variants
+from tarmac.llm import bpe, entropy, licenses, lines, mixing, ngram_join, oracle, pii, pivots, prefixes, spots, suffixes, toxicity, variants
 from tarmac.llm.book import ORACLES, QUERIES, query
 from tarmac.llm.tables import read
 
@@ -86,3 +86,8 @@ def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.variants(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query()
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.prefix_trie(read(spark, sf_dir, "conversations"))
