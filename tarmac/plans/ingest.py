@@ -5,11 +5,13 @@ from __future__ import annotations
 import logging
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.functions import hhmm_number, missing_to_null, strip_all
 from tarmac.operators import zip_arrays
+from tarmac.plans import rejects
 from tarmac.schemas import EXTRACT_COLUMNS, WEATHER_VARIABLES
 from tarmac.sources import landing as landed
 from tarmac.sources.lake import bronze_path, month_stamps, present_months, read_bronze, write_month_partitions
@@ -146,22 +148,78 @@ def missing_extracts(spark: SparkSession, landing: str, lake: str, window: DataF
     return [(r.year, r.month) for r in gaps]
 
 
+def unplaced_files(
+    spark: SparkSession, landing: str, lake: str, force: bool = False
+) -> tuple[list[str], list[str]]:
+    """Extracts without a month in their name, and plain ones of a month that is landed zipped too; paths.
+
+    Those that are among the rejects already are left out. Driver-side lists of what should not be there.
+    """
+    zips, texts = (landed.landed_files(spark, landing, s) for s in ("zip", "csv"))
+    zipped = zips.select("year", "month").distinct()
+    found = zips.unionByName(texts).filter(F.col("year").isNull()).select("path", F.lit("month").alias("why")).unionByName(
+        texts.join(zipped, ["year", "month"], "left_semi").select("path", F.lit("hidden").alias("why")))
+    if not force:
+        known = rejects.read_rejects(spark, lake).select("source_file").distinct()
+        found = found.join(known, F.element_at(F.split("path", "/"), -1) == known["source_file"], "left_anti")
+    rows = found.orderBy("path").collect()
+    return [r.path for r in rows if r.why == "month"], [r.path for r in rows if r.why == "hidden"]
+
+
+def reject_unplaced(spark: SparkSession, landing: str, lake: str, force: bool = False) -> None:
+    """Set aside the rows of extracts without a month, and name the plain extracts that zipped ones hide."""
+    nameless, hidden = unplaced_files(spark, landing, lake, force)
+    if nameless:
+        rejects.write_rejects(rejects.rejected(rejects.marked(_read_extracts(spark, nameless))), lake, "flights", spark, None)
+    if hidden:
+        rejects.write_rejects(rejects.hidden(spark, hidden), lake, "flights", spark, None)
+    if nameless or hidden:
+        log.warning("set aside: %d extracts without a month, %d plain ones landed zipped too", len(nameless), len(hidden))
+
+
 def ingest_flights(
     spark: SparkSession, landing: str, lake: str, window: DataFrame, force: bool = False
 ) -> int:
-    """Load the pending months of the window in one job; returns rows written."""
+    """Load the pending months of the window; returns rows written. What cannot be loaded is among the rejects."""
+    reject_unplaced(spark, landing, lake, force)
     return load_flights(spark, lake, pending_files(spark, landing, lake, "flights", window, force))
 
 
+def _read_extracts(spark: SparkSession, paths: list[str]) -> DataFrame:
+    zips = [p for p in paths if p.lower().endswith(".zip")]
+    texts = [p for p in paths if not p.lower().endswith(".zip")]
+    return reduce(DataFrame.unionByName, [read(spark, found) for read, found in (
+        (landed.read_extract_zip, zips), (landed.read_extract_csv, texts)) if found])
+
+
 def load_flights(spark: SparkSession, lake: str, files: list[Row]) -> int:
     """Load the listed extracts; returns rows written."""
-    zips = [f.path for f in files if f.path.lower().endswith(".zip")]
-    texts = [f.path for f in files if not f.path.lower().endswith(".zip")]
-    raw = [read(spark, found) for read, found in (
-        (landed.read_extract_zip, zips), (landed.read_extract_csv, texts)) if found]
-    if not raw:
+    if not files:
         return 0
-    return _load(bronze_flights(reduce(DataFrame.unionByName, raw)), lake, "flights", files)
+    raw, seen = rejects.marked(_read_extracts(spark, [f.path for f in files])), Observation()
+    rows = _load(bronze_flights(rejects.accepted(counted(raw, seen))), lake, "flights", files)
+    set_aside(spark, raw, seen, lake, [f.path.rsplit("/", 1)[-1] for f in files])
+    return rows
+
+
+def counted(raw: DataFrame, seen: Observation) -> DataFrame:
+    """The marked rows; the write that follows also sees whether any is rejected."""
+    return raw.observe(seen, F.count_if(F.size("_faults") > 0).alias("rejected"))
+
+
+def set_aside(spark: SparkSession, raw: DataFrame, seen: Observation, lake: str, files: list[str] | None) -> None:
+    """Write the rejected rows, by a second pass over the extracts only if the first has met some.
+
+    The count serves as a mere sign: a task that ran twice may be in it twice, and where no row was accepted
+    the adaptive plan may have been cut before it counts.
+    """
+    try:
+        some = seen.get["rejected"] > 0
+    except Py4JJavaError:
+        some = True
+    rejects.write_rejects(rejects.rejected(raw) if some else None, lake, "flights", spark, files)
+    if some:
+        log.warning("rows were set aside: %s", rejects.rejects_path(lake, "flights"))
 
 
 def ingest_weather(

@@ -262,7 +262,7 @@ def refresh(
     """Bring the lake up to the newest landed month; returns new flight rows.
 
     ``landing`` holds ``flights/`` and ``weather/``, listed once. A gap in the window's extracts
-    is an error; missing weather is not. ``hubs`` (with a ``position`` for the payloads' order, or
+    is an error; missing weather is not. Rows and extracts that cannot be loaded are set aside (``plans.rejects``). ``hubs`` (with a ``position`` for the payloads' order, or
     in the order of its rows' codes) and ``carriers`` replace the built-in seeds.
     """
     extracts, payloads = f"{landing}/flights", f"{landing}/weather"
@@ -279,6 +279,7 @@ def refresh(
     flights, weather = (
         ingest.pending_files(spark, folder, root, name, window, force)
         for folder, name in ((extracts, "flights"), (payloads, "weather")))
+    ingest.reject_unplaced(spark, extracts, root, force)
     rows = ingest.load_flights(spark, root, flights)
     order = hubs.select("position", "airport_code") if hubs is not None and "position" in hubs.columns else None
     ingest.load_weather(spark, root, weather, order)

@@ -2,20 +2,29 @@
 
 from __future__ import annotations
 
+import sys
+import zipfile
+from collections.abc import Iterator
+from contextlib import ExitStack
 from datetime import date
 
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyarrow import csv
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac import functions as fn
-from tarmac.plans import ingest, refresh
+from tarmac.plans import ingest, refresh, rejects
 from tarmac.registry.binding import Tables, airport_code
 from tarmac.registry.book import query
 from tarmac.schemas import EXTRACT_COLUMNS, WEATHER_VARIABLES
 from tarmac.session import scratch_path
 from tarmac.sources import landing as landed
 from tarmac.sources import seeds
-from tarmac.sources.lake import MARTS, bronze_path, read_bronze, read_marts, write_month_partitions
+from tarmac.sources.lake import MARTS, adopt_bronze, bronze_path, read_bronze, read_marts, write_month_partitions
+from tarmac.sources.stores import stored
 
 _TEXTS = [name for _, name, kind in EXTRACT_COLUMNS if kind == "string"]
 _BRONZE = ", ".join(
@@ -73,6 +82,100 @@ def s02_extract_csv(t: Tables) -> DataFrame:
                        "dep_time", "distance", "cancelled", "late_aircraft_delay")
 
 
+def _land(extract: DataFrame, folder: str) -> None:
+    """The rows of every ``_file`` as one zipped or plain extract of that name, streamed by the task that has them."""
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    names = [c for c in extract.columns if c != "_file"]
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with ExitStack() as open_files:
+            name, writer = None, None
+            for batch in batches:
+                for part in pa.Table.from_batches([batch]).group_by("_file", use_threads=False).aggregate([]).column(0).to_pylist():
+                    rows = batch.filter(pc.equal(batch.column("_file"), part)).select(names)
+                    if part != name:
+                        open_files.close()
+                        name, system, path = part, *stored(f"{folder}/{part}")
+                        target = open_files.enter_context(system.open_output_stream(path))
+                        if part.endswith(".zip"):
+                            archive = open_files.enter_context(zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED))
+                            target = open_files.enter_context(archive.open(part.replace(".zip", ".csv"), "w", force_zip64=True))
+                        writer = open_files.enter_context(csv.CSVWriter(target, rows.schema))
+                    writer.write_batch(rows)
+        yield pa.RecordBatch.from_pydict({"written": pa.array([], pa.string())})
+
+    system, path = stored(folder)
+    system.create_dir(path, recursive=True)
+    extract.repartition("_file").sortWithinPartitions("_file").mapInArrow(write, "written string").count()
+
+
+@query(_ROWS.replace("tail_number,", "nullif(tail_number, '') as tail_number,"))
+def s01_extract_zip(t: Tables) -> DataFrame:
+    """The extract landed as one archive a month, read back through the data source, to bronze."""
+    def write() -> str:
+        path = scratch_path(t.spark, "archives")
+        _land(_extract(t).withColumnRenamed("_source_file", "_file"), path)
+        return path
+
+    rows = ingest.bronze_flights(landed.read_extract_zip(t.spark, t.once("extract-zip", write)))
+    return rows.select("flight_date", "carrier_code", "flight_number", "tail_number", "origin", "dest", "crs_dep_time",
+                       "dep_time", "distance", "cancelled", "late_aircraft_delay")
+
+
+_PLANTED = [("number", "TaxiOut", 97, 5), ("date", "FlightDate", 89, 7), ("range", "DepTime", 83, 11)]
+_LANDED_TWICE = "select 'extra.zip', k from f where k % 101 = 3"
+
+
+@query(f"""with f as (select flight_number::bigint as k, 'on_time_' || strftime(flight_date::date, '%Y_%-m') as file from b_flights),
+    landed as (select file || '.zip' as file, k from f union all {_LANDED_TWICE}),
+    faults as (select file, 'month' as reason, '_source_file' as field from landed where file = 'extra.zip' union all
+        select min(file) || '.csv', 'hidden', '_source_file' from f union all """ + " union all ".join(
+    f"select file, '{reason}', '{field}' from landed where k % {n} = {rest}" for reason, field, n, rest in _PLANTED)
+    + ") select file as source_file, reason, field, count(*) as rows from faults group by all")
+def i14_rejects(t: Tables) -> DataFrame:
+    """Faults planted in the landed extracts, an extract without a month and a hidden one, as the ingest sets them aside."""
+    def write() -> str:
+        root, k = scratch_path(t.spark, "faulty"), F.trim(F.translate("Flight_Number_Reporting_Airline", "\t", "")).cast("long")
+        at = {field: k % n == rest for _, field, n, rest in _PLANTED}
+        rows = _extract(t).withColumns({
+            "k": k, "TaxiOut": F.when(at["TaxiOut"], "ten").otherwise(F.col("TaxiOut")),
+            "DepTime": F.when(at["DepTime"], "99999").otherwise(F.col("DepTime")),
+            "Month": F.when(at["FlightDate"], "13").otherwise(F.col("Month"))}).withColumnRenamed("_source_file", "_file")
+        extra = rows.filter("k % 101 = 3").withColumn("_file", F.lit("extra.zip"))
+        first = rows.agg(F.min("_file")).first()[0]
+        hidden = rows.filter((F.col("_file") == first) & (F.col("k") % 7 == 0)).withColumn(
+            "_file", F.lit(first.replace(".zip", ".csv")))
+        _land(rows.union(extra).union(hidden).drop("k"), f"{root}/landing")
+        months = landed.landed_months(t.spark, f"{root}/landing", "zip").select("year", "month")
+        ingest.ingest_flights(t.spark, f"{root}/landing", root, months)
+        return root
+
+    return rejects.reject_counts(rejects.read_rejects(t.spark, t.once("faulty-lake", write)))
+
+
+@query(f"select {_BRONZE} from b_flights")
+def s06_drifting_bronze(t: Tables) -> DataFrame:
+    """Bronze whose column types and columns differ between files, adopted into one contract."""
+    def write() -> str:
+        source, lake = scratch_path(t.spark, "foreign"), scratch_path(t.spark, "adopted")
+        day, whole = F.col("flight_date").cast("date"), F.pmod(F.xxhash64("flight_number"), F.lit(3))
+        rows = t.bronze_flights().withColumns({"year": F.year(day), "month": F.lpad(F.month(day).cast("string"), 2, "0")})
+        drifts = [
+            {c: F.col(c).cast("bigint") for c in ("dep_delay", "distance", "cancelled")},
+            {c: F.col(c).cast("decimal(12,2)") for c in ("air_time", "taxi_in")} | {"_other": F.lit("x")},
+            {c: F.col(c).cast("int") for c in ("crs_dep_time", "dep_time")} | {"dep_delay": F.col("dep_delay").cast("float")},
+        ]
+        for i, drift in enumerate(drifts):
+            rows.filter(whole == i).withColumns(drift).write.mode("append").partitionBy("year", "month").parquet(
+                bronze_path(source, "flights"))
+        adopt_bronze(t.spark, source, lake, "flights")
+        return lake
+
+    texts = {c: F.nullif(F.col(c), F.lit("")) for c in _TEXTS}
+    return read_bronze(t.spark, t.once("adopted-lake", write), "flights").withColumns(texts).select(
+        *[name for _, name, _ in EXTRACT_COLUMNS])
+
+
 @query("select 'carriers' as seed, carrier_code as code, carrier_name as label, carrier_type as kind from seed_carriers "
        "union all select 'hubs', airport_code, airport_name, state from seed_hubs")
 def s07_seeds(t: Tables) -> DataFrame:

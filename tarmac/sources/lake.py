@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Collection
 from functools import reduce
 
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarmac.schemas import BRONZE_FLIGHTS, BRONZE_WEATHER
+from tarmac.sources.footers import files_by_schema
 from tarmac.sources.versions import drop_path, read_snapshot, read_version
 
 MARTS = [
@@ -82,25 +82,16 @@ def read_bronze(spark: SparkSession, lake: str, name: str) -> DataFrame:
 def adopt_bronze(spark: SparkSession, source: str, lake: str, name: str) -> None:
     """Bronze of another tool, whose column types drift between files, into this lake's bronze.
 
-    Files of one schema are read together, cast to the contract and united by name, so
-    there are as many scans as schemas. Nanosecond timestamps arrive as integers and are
-    scaled; the session setting for that holds for this job only.
+    Files of one schema are read together, with that schema, cast to the contract and united by name, so
+    there are as many scans as schemas. Schemas are found by tasks (``sources.footers``).
     """
-    root, key = bronze_path(source, name), "spark.sql.legacy.parquet.nanosAsLong"
+    root = bronze_path(source, name)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(root)
-    paths = [r.path for r in files.select("path").orderBy("path").collect()]
-    own = spark.conf.get(key)
-    spark.conf.set(key, "true")
-    try:
-        same_schema: dict[str, list[str]] = defaultdict(list)
-        for path in paths:
-            same_schema[spark.read.parquet(path).schema.json()].append(path)
-        scans = [spark.read.option("basePath", root).parquet(*some) for some in same_schema.values()]
-        rows = reduce(
-            lambda a, b: a.unionByName(b, allowMissingColumns=True), [conform(scan, BRONZE[name]) for scan in scans])
-        write_month_partitions(rows, bronze_path(lake, name))
-    finally:
-        spark.conf.set(key, own)
+    scans = [spark.read.schema(columns).option("basePath", root).parquet(*paths) if columns
+             else spark.read.option("basePath", root).parquet(*paths) for columns, paths in files_by_schema(files)]
+    rows = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True), [conform(scan, BRONZE[name]) for scan in scans])
+    write_month_partitions(rows, bronze_path(lake, name))
 
 
 def conform(df: DataFrame, contract: T.StructType) -> DataFrame:

@@ -6,24 +6,17 @@ is not zero-padded.
 
 from __future__ import annotations
 
-import io
-import sys
-import zipfile
-from collections.abc import Iterator, Sequence
-from pathlib import PurePosixPath
-
-import pyarrow as pa
-from pyarrow import csv
-from pyspark import cloudpickle
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.schemas import EXTRACT_WANTED, RAW_EXTRACT, WEATHER_PAYLOAD
+from tarmac.schemas import EXTRACT_WANTED, WEATHER_PAYLOAD
+from tarmac.sources.zips import read_zips
 
 _MONTH_IN_NAME = r"_(\d{4})_(\d{1,2})\.(?:zip|csv|json)$"
 _LANDED = "path string, year int, month int"
-BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
 
 
 def month_of(path: Column) -> list[Column]:
@@ -34,8 +27,8 @@ def month_of(path: Column) -> list[Column]:
     ]
 
 
-def landed_months(spark: SparkSession, landing: str, suffix: str) -> DataFrame:
-    """Path, year and month of every landed file with this suffix.
+def landed_files(spark: SparkSession, landing: str, suffix: str) -> DataFrame:
+    """Path, year and month (NULL where the name has none) of every landed file with this suffix.
 
     A listing: the file contents are pruned away. A folder that is not there yet
     counts as empty.
@@ -51,50 +44,17 @@ def landed_months(spark: SparkSession, landing: str, suffix: str) -> DataFrame:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], _LANDED)
-    return files.select("path", *month_of(F.col("path"))).filter(F.col("year").isNotNull())
-
-
-def _member_rows(content: bytes, source: str) -> Iterator[pa.RecordBatch]:
-    """The wanted columns of the first delimited member, as text, block by block."""
-    with zipfile.ZipFile(io.BytesIO(content)) as archive:
-        members = [n for n in archive.namelist() if n.lower().endswith(".csv")]
-        if not members:
-            raise ValueError(f"no delimited member in {source}")
-        with archive.open(members[0]) as member:
-            blocks = csv.open_csv(
-                member,
-                read_options=csv.ReadOptions(encoding="latin-1", block_size=8 << 20),
-                parse_options=csv.ParseOptions(newlines_in_values=True),
-                convert_options=csv.ConvertOptions(
-                    include_columns=EXTRACT_WANTED,
-                    column_types={name: pa.string() for name in EXTRACT_WANTED},
-                    strings_can_be_null=False,
-                ),
-            )
-            for block in blocks:
-                names = pa.array([source] * block.num_rows, pa.string())
-                yield pa.RecordBatch.from_arrays([*block.columns, names], names=RAW_EXTRACT.names)
-
-
-def _unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for path, content in zip(batch.column("path"), batch.column("content")):
-            yield from _member_rows(content.as_buffer().to_pybytes(), PurePosixPath(path.as_py()).name)
+    return files.select("path", *month_of(F.col("path")))
 
 
-def read_extract_zip(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Zipped extracts as raw text rows, one task per few files, streamed in blocks.
-
-    A zip member cannot be split, so parallelism is the number of files; extracts
-    beyond 2 GB have to be landed unzipped.
-    """
-    return unzip_extracts(spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(paths))
+def landed_months(spark: SparkSession, landing: str, suffix: str) -> DataFrame:
+    """The landed files whose name says a month."""
+    return landed_files(spark, landing, suffix).filter(F.col("year").isNotNull())
 
 
-def unzip_extracts(files: DataFrame) -> DataFrame:
-    """Raw text rows of binary files; the small reader travels with the job."""
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    return files.select("path", "content").mapInArrow(_unzip, RAW_EXTRACT)
+def read_extract_zip(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Zipped extracts as raw text rows, one task per archive, streamed in blocks of any number."""
+    return read_zips(spark, paths)
 
 
 def read_extract_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

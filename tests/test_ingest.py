@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 
 from builders import extract_line, land_csv, land_payload, land_zip, payload
 from tarmac import functions as fn
-from tarmac.plans import ingest
+from tarmac.plans import ingest, rejects
 from tarmac.schemas import BRONZE_FLIGHTS, EXTRACT_COLUMNS, NULL_TOKENS, WEATHER_VARIABLES
-from tarmac.sources import landing, lake, seeds
+from tarmac.sources import footers, landing, lake, seeds, zips
 from tarmac.streaming.landing import stream_extracts
 
 
@@ -138,7 +138,7 @@ def test_foreign_bronze_with_drifting_types(spark, tmp_path):
     import pyarrow as pa
     import pyarrow.parquet as pq
 
-    for month, delay, extra in ((1, [5, 7], {}), (2, [1.5, None], {"unknown": ["a", "b"]})):
+    for month, delay, extra in ((1, [5, 7], {}), (2, [1.5, None], {"unknown": ["a", "b"]}), (3, [6, 8], {})):
         frame = pd.DataFrame({"flight_date": ["2025-01-01"] * 2, "dep_delay": delay, "crs_dep_time": pd.array([905, None], "Int16"), **extra})
         frame["_ingested_at"] = pd.Timestamp("2025-06-01 01:02:03.456789", tz="UTC")
         folder = tmp_path / f"bronze/flights/year=2025/month=0{month}"
@@ -150,12 +150,13 @@ def test_foreign_bronze_with_drifting_types(spark, tmp_path):
         pq.write_table(table, folder / "flights.parquet")
         odd = folder / "more.parquet"  # files of one month may differ as well
         pq.write_table(table.slice(0, 0).drop_columns(["dep_delay"]), odd)
-    setting = spark.conf.get("spark.sql.legacy.parquet.nanosAsLong")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(str(tmp_path / "bronze"))
+    groups = footers.files_by_schema(files)
+    assert sorted(len(paths) for _, paths in groups) == [1, 1, 2, 2] and all("`_ingested_at` bigint" in ddl for ddl, _ in groups)
     lake.adopt_bronze(spark, str(tmp_path), str(tmp_path / "own"), "flights")
-    assert spark.conf.get("spark.sql.legacy.parquet.nanosAsLong") == setting
     df = lake.read_bronze(spark, str(tmp_path / "own"), "flights")
     assert [f.dataType for f in df.schema] == [f.dataType for f in BRONZE_FLIGHTS]
-    assert sorted((r.month, r.dep_delay) for r in df.collect() if r.dep_delay is not None) == [(1, 5.0), (1, 7.0), (2, 1.5)]
+    assert sorted((r.month, r.dep_delay) for r in df.collect() if r.dep_delay is not None) == [(1, 5.0), (1, 7.0), (2, 1.5), (3, 6.0), (3, 8.0)]
     assert {r._ingested_at for r in df.collect()} == {datetime(2025, 6, 1, 1, 2, 3, 456789)}
 
 
@@ -186,3 +187,62 @@ def test_seeds(spark, tmp_path):
     (tmp_path / "hubs.csv").write_text(
         "airport_code,airport_name,city,state,latitude,longitude\nAAA,A Field,A,AA,33,-84.5\n")
     assert seeds.hub_airports(spark, str(tmp_path / "hubs.csv")).first().latitude == 33.0
+
+
+def faults_of(spark, target):
+    counts = rejects.reject_counts(rejects.read_rejects(spark, target)).collect()
+    return sorted((r.source_file, r.reason, r.field, r.rows) for r in counts)
+
+
+def test_what_bronze_does_not_take_is_kept_with_its_reason(spark, tmp_path):
+    import json
+
+    source, target = tmp_path / "in", str(tmp_path / "lake")
+    good = extract_line(2025, 3, 1)
+    bad = [extract_line(2025, 3, 2, TaxiIn="ten"), extract_line(2025, 3, 31, Month="2"), extract_line(2025, 3, 4, DepTime="99999"),
+           extract_line(2025, 3, 5, AirTime="x", Distance="-"), extract_line(2025, 3, 6, Year="")]
+    land_zip(source, 2025, 3, [good, *bad, extract_line(2025, 3, 7, DepTime="noon", TaxiIn="NA")])
+    land_csv(source, 2025, 3, [good, good])
+    land_csv(source, 2025, 4, [extract_line(2025, 4, 1, DepDelay="1,5")])
+    (source / "extra.csv").write_bytes((source / "on_time_2025_3.csv").read_bytes())
+    window = months(spark, (2025, 3), (2025, 4))
+    assert ingest.ingest_flights(spark, str(source), target, window) == 2
+    expected = [
+        ("extra.csv", "month", "_source_file", 2), ("on_time_2025_3.csv", "hidden", "_source_file", 1),
+        ("on_time_2025_3.zip", "date", "FlightDate", 2), ("on_time_2025_3.zip", "number", "AirTime", 1),
+        ("on_time_2025_3.zip", "number", "Distance", 1), ("on_time_2025_3.zip", "number", "TaxiIn", 1),
+        ("on_time_2025_3.zip", "range", "DepTime", 1), ("on_time_2025_4.csv", "number", "DepDelay", 1)]
+    assert faults_of(spark, target) == expected
+    kept = rejects.read_rejects(spark, target).filter("source_file = 'on_time_2025_4.csv'").first()
+    assert json.loads(kept.line)["DepDelay"] == "1,5" and kept.faults[0].value == "1,5"
+    assert ingest.ingest_flights(spark, str(source), target, window) == 0  # nothing is set aside twice
+    assert faults_of(spark, target) == expected
+    land_zip(source, 2025, 3, [good])
+    assert ingest.ingest_flights(spark, str(source), target, window, force=True) == 1
+    assert faults_of(spark, target) == [r for r in expected if r[0] != "on_time_2025_3.zip"]
+
+
+def test_the_stream_sets_aside_what_does_not_fit(spark, tmp_path):
+    source, target, state = tmp_path / "in", str(tmp_path / "lake"), str(tmp_path / "state")
+    land_zip(source, 2025, 3, [extract_line(2025, 3, 1), extract_line(2025, 3, 2, Distance="far")])
+    (source / "on_time.zip").write_bytes((source / "on_time_2025_3.zip").read_bytes())
+    stream_extracts(spark, str(source), target, state).awaitTermination()
+    assert lake.read_bronze(spark, target, "flights").count() == 1
+    assert faults_of(spark, target) == [
+        ("on_time.zip", "month", "_source_file", 2), ("on_time.zip", "number", "Distance", 1),
+        ("on_time_2025_3.zip", "number", "Distance", 1)]
+
+
+def test_archives_are_read_by_blocks_and_columns(spark, tmp_path, monkeypatch):
+    land_zip(tmp_path / "deep", 2025, 3, [extract_line(2025, 3, 1 + d % 28) for d in range(300)])
+    land_zip(tmp_path, 2025, 4, [extract_line(2025, 4, 1)])
+    (tmp_path / "notes.txt").write_text("")
+    monkeypatch.setattr(zips, "BLOCK_BYTES", 8192)
+    path = str(tmp_path / "deep/on_time_2025_3.zip")
+    batches = list(zips.member_rows(path, ["Origin", "_source_file"]))
+    assert len(batches) > 5 and sum(b.num_rows for b in batches) == 300 and batches[0].schema.names == ["Origin", "_source_file"]
+    zips.register(spark)
+    whole = spark.read.format("zipped_extracts").load(str(tmp_path))
+    assert whole.rdd.getNumPartitions() == 2 and whole.count() == 301
+    assert zips.read_zips(spark, f"file:{path}", "Origin", "_source_file").distinct().collect() == [("ATL", "on_time_2025_3.zip")]
+    assert zips.read_zips(spark, str(tmp_path / "nothing")).count() == 0
