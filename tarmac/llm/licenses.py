@@ -41,6 +41,7 @@ NOTICES = {
     "mozilla public license version 2 0": "mpl-2",
 }
 TELLING = {
+    "released under the mit license": ("mit",),
     "licensed under the apache license version 2 0": ("2",),
     "licensed under cc by nc 4 0": ("nc",),
     "licensed under the gnu general public license version 3": ("3",),

@@ -23,19 +23,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
-_tables: dict[str, np.ndarray] = {}
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse modulo 2^64, at least ``n`` of each."""
-    if len(_tables.get("up", ())) < n:
-        size = max(n, 1 << 16)
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            steps = np.full(size, np.uint64(base))
-            steps[0] = 1
-            _tables[name] = np.multiply.accumulate(steps)
-    return _tables["up"], _tables["down"]
+_CHUNK = 8
+_KEPT_BYTES = np.array([(1 << (8 * k)) - 1 for k in range(_CHUNK)] + [_MASK], np.uint64)
 
 
 def flat_words(
@@ -53,10 +42,22 @@ def flat_words(
 
 
 def hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash per word: equal bytes, equal hash, wherever the word stands."""
-    up, down = _powers(len(data) + 1)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[data] * up[:len(data)])])
-    return mixed((sums[ends] - sums[starts]) * down[starts])
+    """A hash per word: equal bytes, equal hash, wherever the word stands.
+
+    Eight bytes at a time are mixed into what came before. Each step is one to one in either, so words of one
+    length that differ in eight bytes only never collide, and no sum is taken whose terms could cancel out.
+    """
+    padded = np.concatenate([data, np.zeros(_CHUNK, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # at every place, unaligned
+    left = ends - starts
+    out = mixed(left.astype(np.uint64) * np.uint64(_BASE))
+    at, own = starts, np.arange(len(starts))
+    while len(own):
+        chunk = eight[at] & _KEPT_BYTES[np.minimum(left, _CHUNK)]
+        out[own] = mixed(out[own] ^ mixed(chunk + np.uint64(_BASE)))
+        on = left > _CHUNK
+        at, left, own = at[on] + _CHUNK, left[on] - _CHUNK, own[on]
+    return out
 
 
 def runs(words: np.ndarray, text: np.ndarray, width: int, n_texts: int) -> tuple[np.ndarray, np.ndarray]:

@@ -80,3 +80,21 @@ def test_empty_table(documents):
 
 def test_prefix_sizes():
     assert [Rule(4, 85).prefix(n) for n in (0, 1, 6, 7, 100)] == [0, 1, 1, 2, 16]
+
+
+@pytest.mark.parametrize("letters", [512, 1024, 2048, 4096])
+def test_complementary_words_are_different(spark, documents, letters):
+    """Words in which the two letters alternate by parity of bits, and their complements: sums of powers collide on them."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(letters))
+    other = word.translate(str.maketrans("ab", "ba"))
+    found = ngram_join.near_duplicates(documents([(1, word), (2, other), (3, other)]), Rule(width=4, percent=85))
+    assert sorted(tuple(r)[:3] for r in found.select("doc_id", "n_shingles", "component_id").collect()) == [(1, 1, 1), (2, 1, 2), (3, 1, 2)]
+
+
+def test_hash_of_words_depends_on_every_byte_and_the_length():
+    from tarmac.llm.words import flat_words, hashed
+
+    texts = [b"a" * n for n in range(1, 40)] + [b"b" * i + b"c" + b"b" * (23 - i) for i in range(24)] + [b"a\0", b"a\0\0", b"x" * 9]
+    data, starts, ends, _ = flat_words([b" ".join(texts), b"  " + texts[5]])
+    values = hashed(data, starts, ends)
+    assert len(set(values[:-1].tolist())) == len(texts) and values[-1] == values[5]
