@@ -60,3 +60,28 @@ def test_empty_tables_pass_all_stages(spark, documents, tmp_path):
     empty.write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+ROWS = "doc_id long, text string, lang string, source string, n_chars long, score string, n_lines string, _gone int, _row int"
+
+
+def test_columns_of_the_caller_stay(spark, prose, tmp_path):
+    spark.createDataFrame([(1, 1, 0), (2, 0, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.createDataFrame([(i, prose(i, 40), "en", "s", 9, "good", "many", i, -i) for i in range(1, 9)], ROWS)
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        after = stage(spark, docs, str(tmp_path))
+        assert after.schema == docs.schema or [(f.name, f.dataType) for f in after.schema] == [(f.name, f.dataType) for f in docs.schema], name
+        if name != "mixing":
+            assert sorted(map(tuple, after.collect())) == sorted(map(tuple, docs.collect())), name
+
+
+def test_one_of_each_class_stays_whatever_the_ids(spark, prose, documents):
+    a, b, c, d = (prose(i, 60) for i in range(4))
+    rows = [(None, a), (None, a), (None, a + " more"), (7, b), (None, b), (5, c), (5, d), (5, c), (9, c + " more"),
+            (None, None), (None, None), (3, ""), (3, "")]
+    left = corpus_pipeline.drop_near_copies(spark, documents(rows), "").select("doc_id", "text").collect()
+    texts = [(r.text or "").removesuffix(" more") for r in left]
+    assert sorted(t for t in texts if t) == sorted([a, b, c, d]) and len(texts) == 8  # rows without words stay
+    assert {r.doc_id for r in left if r.text and r.text.startswith(b)} == {7}
+    assert {r.doc_id for r in left if r.text and r.text.startswith(c)} == {9}
+    assert [r.doc_id for r in left if r.text == d] == [5]
