@@ -7,11 +7,14 @@ what is kept of it. Reasons, each with the column and the text that gave it:
 * ``date``: year, month and day are no date;
 * ``number``: a text that is neither missing nor a number (clock times excepted, which become NULL);
 * ``range``: a clock number beyond 16 bits;
+* ``payload``: a weather payload that is no list of responses; ``length``: arrays of unequal length in one;
+* ``later``: a payload of a month for which the same batch holds a later one;
 * ``hidden``: a plain extract of a month that was landed zipped too. The file is named, ``line`` is NULL.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Collection
 
 from pyspark.errors import AnalysisException
@@ -19,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.functions import missing_to_null
-from tarmac.schemas import EXTRACT_COLUMNS, EXTRACT_DATE_PARTS, EXTRACT_WANTED
+from tarmac.schemas import EXTRACT_COLUMNS, EXTRACT_DATE_PARTS, EXTRACT_WANTED, WEATHER_PAYLOAD, WEATHER_VARIABLES
 from tarmac.sources import landing as landed
 from tarmac.sources.versions import drop_path
 
@@ -70,6 +73,26 @@ def rejected(rows: DataFrame) -> DataFrame:
         F.current_timestamp().alias("rejected_at"), F.col("_source_file").alias("source_file"))
 
 
+def payload_faults() -> Column:
+    """What keeps a payload (``path``, ``value``, ``responses``, ``year``) out of bronze; an empty array if nothing does."""
+    name, responses = F.element_at(F.split("path", "/"), -1), F.col("responses")
+    sizes = lambda r: [F.size(r["hourly"][v]) for v in WEATHER_VARIABLES]
+    unlike = lambda r: F.greatest(*[(F.coalesce(n, F.lit(-1)) != F.size(r["hourly"]["time"])).cast("int") for n in sizes(r)]) == 1
+    texts = F.from_json("value", re.sub("array<double>", "array<string>", WEATHER_PAYLOAD))
+    found = [
+        _fault("month", "path", F.col("year").isNull(), name),
+        _fault("payload", "responses", responses.isNull() | F.exists(responses, lambda r: r.isNull()), name),
+        _fault("length", "hourly", F.exists(texts, unlike), name),
+    ]
+
+    def known(parsed: Column, variable: str) -> Column:
+        sizes = F.transform(parsed, lambda r: F.size(F.filter(r["hourly"][variable], lambda x: x.isNotNull())))
+        return F.aggregate(sizes, F.lit(0), lambda n, size: n + F.greatest(size, F.lit(0)))
+
+    found += [_fault("number", v, known(texts, v) != known(responses, v), name) for v in WEATHER_VARIABLES]
+    return F.filter(F.array(*found), lambda f: f.isNotNull())
+
+
 def hidden(spark: SparkSession, paths: Collection[str]) -> DataFrame:
     """A row for each plain extract that a zipped one hides."""
     files = spark.createDataFrame([(p,) for p in sorted(paths)], "path string")

@@ -278,6 +278,13 @@ def q11_incomplete_weather(t: Tables) -> DataFrame:
     return quality.incomplete_weather(t.stg_weather(), t.hubs())
 
 
+@query("""with e as (select airport_code, unnest(range(m::timestamp, (m + interval 1 month)::timestamp, interval 1 hour)) as weather_hour
+    from (select distinct date_trunc('month', weather_hour)::date as m from weather), seed_hubs)
+    select * from e where not exists (select 1 from weather w where w.airport_code = e.airport_code and w.weather_hour = e.weather_hour)""")
+def q11_missing_hours(t: Tables) -> DataFrame:
+    return quality.missing_hours(t.stg_weather(), t.hubs())
+
+
 def _checked_tables(t: Tables) -> dict[str, DataFrame]:
     """Written bronze, silver, dimensions and marts; the facts are a light plan over silver."""
     marts_read = ["mart_kpis_monthly", "mart_carrier_monthly", "mart_delay_causes_monthly", "mart_hourly_profile"]
@@ -363,6 +370,15 @@ def q12_quality_report(t: Tables) -> DataFrame:
 # --- checks that fire: violations planted in rows derived from the bound flights ---------------
 
 
+@query("""select (select count(*) from (select left(flight_id, 5) as k from flights group by 1 having count(*) > 1))::bigint as flights,
+    (select count(*) from (select left(flight_id, 4) as k from facts group by 1 having count(*) > 1))::bigint as facts""")
+def q02_planted_keys(t: Tables) -> DataFrame:
+    """Ids cut short, so that many repeat, and differently in the facts."""
+    flights, mark = quality.repeated_keys(t.silver().withColumn("flight_id", F.left("flight_id", F.lit(5))), "flight_id")
+    facts = quality.repeated_elsewhere(t.facts().withColumn("flight_id", F.left("flight_id", F.lit(4))), "flight_id", flights, mark)
+    return t.spark.range(1).select(F.lit(flights).cast("long").alias("flights"), F.lit(facts).cast("long").alias("facts"))
+
+
 @query("""select count(*) as rows, count(*) filter (where is_cancelled and (arr_delay is not null)) as violations
     from (select is_cancelled or distance_miles > 900 as is_cancelled, arr_delay_min as arr_delay from facts)""")
 def q06_planted_arrivals(t: Tables) -> DataFrame:

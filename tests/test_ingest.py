@@ -9,6 +9,7 @@ from tarmac.plans import ingest, rejects
 from tarmac.schemas import BRONZE_FLIGHTS, EXTRACT_COLUMNS, NULL_TOKENS, WEATHER_VARIABLES
 from tarmac.sources import footers, landing, lake, seeds, zips
 from tarmac.streaming.landing import stream_extracts
+from tarmac.streaming.weather import stream_weather
 
 
 def months(spark, *pairs):
@@ -246,3 +247,33 @@ def test_archives_are_read_by_blocks_and_columns(spark, tmp_path, monkeypatch):
     assert whole.rdd.getNumPartitions() == 2 and whole.count() == 301
     assert zips.read_zips(spark, f"file:{path}", "Origin", "_source_file").distinct().collect() == [("ATL", "on_time_2025_3.zip")]
     assert zips.read_zips(spark, str(tmp_path / "nothing")).count() == 0
+
+
+def test_streamed_weather_equals_the_batch_load(spark, tmp_path, rows):
+    import json
+    import os
+
+    source, own, other = tmp_path / "in", str(tmp_path / "lake"), str(tmp_path / "batch")
+    for month in (1, 2):
+        land_payload(source, 2025, month, payload(30, datetime(2025, month, 1), 48))
+    window = months(spark, (2025, 1), (2025, 2))
+    ingest.ingest_weather(spark, str(source), other, window)
+    land_payload(source, 2025, 3, payload(30, datetime(2025, 3, 1), 48, snowfall=[0.0]))
+    (source / "weather_2025_4.json").write_text("no payload")
+    (source / "weather.json").write_text(json.dumps(payload(2, datetime(2025, 4, 1), 2)))
+    (source / "weather_2025_5.json").write_text(json.dumps(payload(2, datetime(2025, 5, 1), 2, snowfall=["deep", None])))
+    stream_weather(spark, str(source), own, str(tmp_path / "state")).awaitTermination()
+    read = lambda root: lake.read_bronze(spark, root, "weather").drop("_ingested_at")
+    assert rows(read(own)) == rows(read(other)) and read(own).count() == 30 * 96
+    counts = rejects.reject_counts(rejects.read_rejects(spark, own, "weather")).collect()
+    assert sorted((r.source_file, r.reason, r.field) for r in counts) == [
+        ("weather.json", "month", "path"), ("weather_2025_3.json", "length", "hourly"),
+        ("weather_2025_4.json", "payload", "responses"), ("weather_2025_5.json", "number", "snowfall")]
+    for name, warmth in (("a", 5), ("b", 7)):  # two corrections of a month in one batch: the later one counts
+        (source / f"fix_{name}_2025_1.json").write_text(json.dumps(payload(1, datetime(2025, 1, 1), 24, temperature_2m=[warmth] * 24)))
+        os.utime(source / f"fix_{name}_2025_1.json", (2e9 - warmth, 2e9 - warmth))
+    stream_weather(spark, str(source), own, str(tmp_path / "state")).awaitTermination()
+    january = read(own).filter("month = 1")
+    assert january.count() == 24 and january.select("temperature_2m").distinct().collect() == [(5.0,)]
+    later = rejects.read_rejects(spark, own, "weather").filter("faults[0].reason = 'later'").collect()
+    assert [r.source_file for r in later] == ["fix_b_2025_1.json"]

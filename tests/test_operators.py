@@ -130,6 +130,26 @@ def test_bronze_and_weather_checks_find_planted_rows(spark):
     assert quality.incomplete_weather(hours, hubs).count() == 0
     assert quality.incomplete_weather(hours.union(hours.limit(1)), hubs).first().rows == 673
     assert quality.incomplete_weather(hours.filter("weather_hour > '2025-02-01'"), hubs).first().expected == 672
+    gaps = hours.filter("weather_hour not between '2025-02-03 04:00' and '2025-02-03 06:00'")
+    lacking = quality.missing_hours(gaps, hubs.filter("airport_code in ('ATL', 'DFW')"))
+    assert lacking.filter("airport_code = 'DFW'").count() == 672
+    assert [r.weather_hour.hour for r in lacking.filter("airport_code = 'ATL'").orderBy("weather_hour").collect()] == [4, 5, 6]
+
+
+def test_keys_are_counted_by_hashes(spark, monkeypatch):
+    ids = spark.createDataFrame([(str(i % 90),) for i in range(100)] + [(None,), (None,)], "flight_id string")
+    unique = ids.distinct()
+    n, mark = quality.repeated_keys(unique, "flight_id")
+    assert n == 0 and quality.repeated_keys(ids, "flight_id")[0] == 10
+    assert quality.repeated_elsewhere(unique.repartition(3), "flight_id", n, mark) == 0
+    assert quality.repeated_elsewhere(ids, "flight_id", n, mark) == 10
+    swapped = unique.filter("flight_id <> '7'").union(spark.createDataFrame([("8",)], "flight_id string"))
+    assert quality.repeated_elsewhere(swapped, "flight_id", n, mark) == 1
+    collide = lambda df, c: df.filter(F.col(c).isNotNull()).select(F.col(c).alias("key"), (F.col(c).cast("long") % 7).alias("h"))
+    monkeypatch.setattr(quality, "hashed_keys", collide)  # all hashes collide: the texts decide
+    assert quality.repeated_keys(unique, "flight_id")[0] == 0 and quality.repeated_keys(ids, "flight_id")[0] == 10
+    empty = unique.limit(0)
+    assert quality.repeated_elsewhere(empty, "flight_id", *quality.repeated_keys(empty, "flight_id")) == 0
 
 
 def test_cancelled_flights_that_arrived_are_found(spark):
