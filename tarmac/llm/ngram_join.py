@@ -39,7 +39,7 @@ from tarmac.llm.words import shingle_sets
 
 MAX_FREQUENT = 1 << 20
 LEAST_FREQUENT = 16
-HELD_HASHES = 1 << 22
+HELD_HASHES = 1 << 20
 FILTER_WORDS = 1 << 18
 
 
