@@ -1,4 +1,4 @@
-"""The queries of the ten operators over the given tables."""
+"""The queries of the thirteen operators over the given tables."""
 
 from __future__ import annotations
 
@@ -66,7 +66,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
-@query()
+@query(oracle.NEAR_VECTORS)
 def op9_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivots.near_vectors(read(spark, sf_dir, "embeddings"))
 
@@ -77,17 +77,17 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
 
 
-@query()
+@query(oracle.SUFFIX_DEDUP)
 def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = suffixes.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@query()
+@query(oracle.SPELLING_VARIANTS)
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.variants(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-@query()
+@query(oracle.PREFIX_TRIE)
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixes.prefix_trie(read(spark, sf_dir, "conversations"))
