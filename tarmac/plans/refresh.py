@@ -33,7 +33,7 @@ from tarmac.sources import seeds
 from tarmac.sources.lake import MARTS, bronze_path, month_stamps, read_bronze
 from tarmac.sources.versions import (
     MONTH, Entry, Snapshot, append_snapshot, drop_unused, partition_months, read_snapshot, read_version,
-    table_path,
+    sole_writer, table_path,
 )
 
 log = logging.getLogger(__name__)
@@ -204,21 +204,23 @@ def build(
     """Bring silver, core and marts up to bronze; returns the months rebuilt.
 
     Readers see the result only when it is complete and, if ``checked``, all checks hold.
-    Repeating a build that broke off is safe: it starts from the last complete one.
+    Repeating a build that broke off is safe: it starts from the last complete one. A second build
+    at the same time is refused.
     """
     carriers = seeds.carriers(spark) if carriers is None else carriers
     hubs = seeds.hub_airports(spark) if hubs is None else hubs
-    lake = plan_build(spark, root, carriers, hubs)
-    if lake is None:
-        return []
-    build_silver(lake)
-    build_core(lake, carriers, hubs)
-    build_marts(lake, carriers)
-    if checked:
-        check(lake)
-    append_snapshot(spark, root, lake.snapshot)
-    drop_unused(spark, root, lake.snapshot)
-    return sorted(lake.months)
+    with sole_writer(spark, root):
+        lake = plan_build(spark, root, carriers, hubs)
+        if lake is None:
+            return []
+        build_silver(lake)
+        build_core(lake, carriers, hubs)
+        build_marts(lake, carriers)
+        if checked:
+            check(lake)
+        append_snapshot(spark, root, lake.snapshot)
+        drop_unused(spark, root, lake.snapshot)
+        return sorted(lake.months)
 
 
 def lake_tables(lake: Lake) -> dict[str, DataFrame]:

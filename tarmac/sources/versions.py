@@ -9,8 +9,11 @@ readers see the build before.
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,7 +76,8 @@ def read_snapshot(spark: SparkSession, lake: str, before: int | None = None) ->
 
 def append_snapshot(spark: SparkSession, lake: str, snapshot: Snapshot) -> None:
     rows = [(snapshot.build, *key, e.version, e.stamp, list(e.months)) for key, e in sorted(snapshot.entries.items())]
-    spark.createDataFrame(rows, _ROWS).coalesce(1).write.mode("append").parquet(f"{lake}/state/builds")
+    states = spark.createDataFrame(rows, _ROWS).coalesce(1)
+    states.write.mode("append").partitionBy("build").parquet(f"{lake}/state/builds")  # a reader opens the newest only
 
 
 def read_version(
@@ -100,6 +104,28 @@ def partition_months(spark: SparkSession, path: str) -> list[int]:
     return sorted(r[0] for r in files.select(F.col(MONTH).cast("int")).distinct().collect())
 
 
+@contextmanager
+def sole_writer(spark: SparkSession, lake: str) -> Iterator[None]:
+    """Holds ``state/writer`` while a build runs; a second writer meets an error.
+
+    The file is created at once or not at all. A driver that was killed leaves it; it names the application, and
+    is removed by hand when that has ended.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{lake}/state/writer")
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path.getParent())
+    try:
+        out = system.create(path, False)
+    except Py4JJavaError as error:
+        raise RuntimeError(f"{lake} is being built by another run: {path.toString()} is there") from error
+    out.writeBytes(spark.sparkContext.applicationId)
+    out.close()
+    try:
+        yield
+    finally:
+        drop_path(spark, path.toString())
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Remove a folder, on whatever file system it is; nothing if it is not there."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)

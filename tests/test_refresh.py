@@ -148,6 +148,19 @@ def test_seeds_of_the_caller_are_used_and_their_change_is_noticed(spark, lake_ro
     assert "The American Airlines" in names or any(n.startswith("The ") for n in names)
 
 
+def test_a_second_writer_is_refused(spark, landed, lake_root):
+    from tarmac.sources.versions import sole_writer
+
+    state = Path(lake_root) / "state"
+    with sole_writer(spark, lake_root):
+        assert (state / "writer").read_text() == spark.sparkContext.applicationId
+        with pytest.raises(RuntimeError, match="another run"):
+            refresh.refresh(spark, str(landed), lake_root, months=2, today=date(2025, 3, 10))
+    assert not (state / "writer").exists()
+    assert refresh.refresh(spark, str(landed), lake_root, months=2, today=date(2025, 3, 10)) == 0  # the month is in bronze
+    assert lake.read_marts(spark, lake_root)["mart_kpis_monthly"].count() == 2
+
+
 def test_unused_folders_go_after_one_more_build(spark, landed, lake_root):
     def folders(name):
         return sorted(p.name for p in (Path(lake_root) / "gold" / name).iterdir())
