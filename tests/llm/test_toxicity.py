@@ -71,3 +71,46 @@ def test_long_texts_do_not_end_the_sample(spark, documents, prose, monkeypatch):
     mixed = toxicity.fit(documents(rows + long), spark.createDataFrame(marks + [(i, 1, 0) for i, _ in long], LABELS))
     texts = [t.encode() for _, t in rows]
     assert plain.weights is not None and (plain.scores(texts) == mixed.scores(texts)).all()
+
+
+def test_scores_from_plain_zstandard_calls(spark, documents, prose):
+    """Scores recomputed from the two trained dictionaries, window by window."""
+    import zstandard
+
+    rows, marks = labelled(prose)
+    model = toxicity.fit(documents(rows), spark.createDataFrame(marks, LABELS))
+    assert model.toxic.startswith(model.plain) and 0 < len(model.toxic) - len(model.plain) <= toxicity.TOXIC_DICTIONARY
+    assert any(word in model.toxic[len(model.plain):] for word in (b"wretched", b"filthy", b"scoundrel"))
+    assert not any(word in model.plain for word in (b"wretched", b"filthy", b"scoundrel"))
+
+    def length(window, words):
+        kind = zstandard.ZstdCompressionDict(words, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        return len(zstandard.ZstdCompressor(level=3, dict_data=kind, write_content_size=False, write_checksum=False,
+                                            write_dict_id=False).compress(window))
+
+    for _, text in rows[:8]:
+        data = text.lower().encode()
+        saved = np.array([length(w, model.plain) - length(w, model.toxic)
+                          for w in (data[i:i + 48] for i in range(0, max(1, len(data) - 12), 36))], float)
+        top = np.sort(saved)[-3:]
+        x = np.array([1, top[-1], top.mean(), saved.mean(), np.log1p(np.maximum(saved - 1, 0).sum()), np.sqrt((saved >= 2).mean())])
+        score = 1 / (1 + np.exp(-(x / model.scale @ model.weights + model.shift)))
+        assert abs(model.scores([text.encode()])[0] - score) < 1e-8
+
+
+def test_rare_toxic_labels_still_score(spark, documents, prose, monkeypatch):
+    """One text in 60 is toxic, more than the sample would hold if it took rows as they come."""
+    monkeypatch.setattr(toxicity, "MAX_FIT_ROWS", 120)
+    rows, marks = [], []
+    for i in range(1800):
+        words, bad = prose(i, 40).split(), i % 60 == 0
+        if bad:
+            for k in range(3):
+                words[(11 * i + 17 * k) % len(words)] = ("wretched", "filthy", "scoundrel")[(i // 60 + k) % 3]
+        rows.append((i, " ".join(words)))
+        marks.append((i, 1, int(bad)))
+    docs = documents(rows)
+    scored = toxicity.score(docs, toxicity.fit(docs, spark.createDataFrame(marks, LABELS)))
+    found = {r.doc_id for r in scored.filter(F.col("score") >= toxicity.THRESHOLD).collect()}
+    bad = {i for i, _, t in marks if t}
+    assert len(found & bad) >= 0.8 * len(bad) and len(found - bad) <= 0.01 * len(rows)
