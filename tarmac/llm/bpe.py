@@ -8,6 +8,9 @@ places of a word's lowest pair are merged in the same round, from the left.
 
 Texts are whole. Null counts as empty; an empty text has no tokens. The strings of
 added tokens stand for their ids wherever they occur, as in the library.
+
+Rows may repeat; an empty table gives an empty table. Other columns pass through; the added ``ids`` and ``decoded``
+replace the caller's. A long text is a chunk of its own, in memory some tens of times its size.
 """
 
 from __future__ import annotations

@@ -17,6 +17,10 @@ each n-gram it holds (so even the most usual one has a row per block, not per pl
 meet the block again, and its texts are scored there. No table is collected or broadcast.
 Null and empty texts have no tokens, losses 0. Without any target text both losses come
 from the background, and the difference is 0.
+
+Rows may repeat: they count again and are scored alike. An empty table gives an empty table. A text beyond a block is a
+block of its own. Tokens are bytes, not words, so that spelling and foreign scripts need no cut of the vocabulary; the
+weights of the orders are fixed, as both models use the same and only their difference counts.
 """
 
 from __future__ import annotations

@@ -9,6 +9,10 @@ tell one license from another (``TELLING``) have to stand in the match unedited.
 
 Exact phrases are the base: every place where their words stand consecutively, reported
 whatever the fuzzy search finds. Texts are whole; null counts as empty.
+
+Empty and null texts have no words and no spans. Equal rows are reported alike; an empty table gives an empty table.
+Other columns pass through ``scan``; its own two, ``n_words`` and ``spans``, replace the caller's. A long text is
+searched as one string, in memory a few times its size.
 """
 
 from __future__ import annotations

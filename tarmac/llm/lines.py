@@ -9,6 +9,8 @@ Hashes have 128 bits. First places are found by a combined minimum, so a window
 third of all documents share costs a row per task. Rows with equal ``doc_id`` and text are
 one document and share its result; a null ``doc_id`` comes last. Null texts stay null,
 texts without repeated windows stay as they are, byte for byte.
+An empty table gives an empty table. The lines of a long text are one row's array. Other columns pass through;
+``n_lines`` and ``n_removed`` replace the caller's.
 """
 
 from __future__ import annotations

@@ -16,6 +16,8 @@ ends. Only sums per source and bin are shuffled. Equal rows share rank and fate.
 
 Nulls: no text has size 0; rows without a source form a source of their own, last in
 order. An empty table gives an empty mix; so does one without any word (target 0).
+Columns other than ``doc_id``, ``text`` and ``source`` pass through ``mix`` as they are; ``taken`` does not read them.
+Of a long text only its number of words is used.
 """
 
 from __future__ import annotations

@@ -18,6 +18,10 @@ candidates it gives ``LEAST`` or more are reported too, unless they overlap a ba
 Places are code points, ends exclusive. The patterns are written so that Java's engine needs
 neither recursion nor a second look at a run of characters: possessive loops, and a start either
 after another character or where the last match ended. Null texts count as empty.
+
+Rows may repeat: each votes again, and is reported alike. An empty table gives an empty table. Other columns pass
+through ``find``; those named ``base``, ``other``, ``strict``, ``loose`` and ``added`` are replaced or go. Texts of any
+length are whole; a text's spans are one row.
 """
 
 from __future__ import annotations

@@ -9,6 +9,8 @@ it has none. An empty (or null) text has an empty set, alike only to another emp
 a set only meets its own partition and the next one, and within them only sets that share
 one of their first signatures, rarest first; pairs are verified by their Jaccard likeness.
 ``with_next`` compares every text with its successor and with an edited form of itself.
+Rows may repeat: each is a row of its own, and equal texts have equal fingerprints. An empty table gives an
+empty table. Columns other than ``doc_id`` and ``text`` are not read. Texts of any length are whole.
 """
 
 from __future__ import annotations
