@@ -41,7 +41,7 @@ from tarmac.llm.words import shingle_sets
 
 MAX_FREQUENT = 1 << 20
 LEAST_FREQUENT = 16
-HELD_HASHES = 1 << 20
+HELD_HASHES = 1 << 22
 FILTER_WORDS = 1 << 18
 
 
@@ -68,31 +68,30 @@ def frequent(docs: DataFrame, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     """The n-grams of most sets, sorted, and their counts; ``MAX_FREQUENT`` at most."""
     kind = pa.schema([("gram", pa.int64()), ("n", pa.int64())])
 
-    def repeated(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        """Empties ``held``; sorted in place, as the hashes are the largest thing a task holds."""
-        if held:
-            values = np.concatenate(held)
-            held.clear()
-            values.sort()
-            starts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
-            n = np.diff(np.append(starts, len(values)))
-            some = n > 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(values[starts[some]].view(np.int64)), pa.array(n[some])], schema=kind)
+    def repeated(values: np.ndarray) -> pa.RecordBatch:
+        """Sorted in place, as the hashes are the largest thing a task holds."""
+        values.sort()
+        same = np.zeros(len(values) + 1, np.int8)
+        same[1:-1] = values[1:] == values[:-1]
+        step = np.diff(same, prepend=np.int8(0))
+        starts, ends = np.flatnonzero(step == 1) - 1, np.flatnonzero(step == -1) - 1
+        return pa.RecordBatch.from_arrays([pa.array(values[starts].view(np.int64)), pa.array(ends - starts + 1)], schema=kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, seen = [], 0, set()
+        held, size, seen = np.empty(HELD_HASHES, np.uint64), 0, set()
         for _, texts in chunks(batches):
             for values in shingle_sets(texts, rule.width):
                 digest = _digest(values)
-                if digest not in seen:
-                    seen.add(digest)
-                    held.append(values)
-                    size += len(values)
-            if size > HELD_HASHES:
-                yield from repeated(held)
-                size, seen = 0, set()
-        yield from repeated(held)
+                if digest in seen or len(values) > HELD_HASHES:  # a set alone repeats nothing
+                    continue
+                if size + len(values) > HELD_HASHES:
+                    yield repeated(held[:size])
+                    size, seen = 0, set()
+                seen.add(digest)
+                held[size:size + len(values)] = values
+                size += len(values)
+        if size:
+            yield repeated(held[:size])
 
     counted = settle(
         docs.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
