@@ -25,6 +25,7 @@ from tarmac.sources import landing as landed
 from tarmac.sources import seeds
 from tarmac.sources.lake import MARTS, adopt_bronze, bronze_path, read_bronze, read_marts, write_month_partitions
 from tarmac.sources.stores import stored
+from tarmac.streaming.weather import stream_weather
 
 _TEXTS = [name for _, name, kind in EXTRACT_COLUMNS if kind == "string"]
 _BRONZE = ", ".join(
@@ -294,6 +295,48 @@ def s03_payload_flatten(t: Tables) -> DataFrame:
     return ingest.bronze_weather(payloads, hubs).drop("_ingested_at")
 
 
+def _land_texts(files: DataFrame, folder: str) -> None:
+    """Every row (``name``, ``value``) as a file of that name, written by tasks."""
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, value in zip(*(column.to_pylist() for column in batch.columns)):
+                system, path = stored(f"{folder}/{name}")
+                with system.open_output_stream(path) as out:
+                    out.write(value.encode())
+        yield pa.RecordBatch.from_pydict({"written": pa.array([], pa.string())})
+
+    system, path = stored(folder)
+    system.create_dir(path, recursive=True)
+    files.select("name", "value").mapInArrow(write, "written string").count()
+
+
+@query("""select airport_code, weather_hour as weather_time, temperature_c as temperature_2m, precipitation_mm as precipitation,
+    snowfall_cm as snowfall, wind_speed_kmh as wind_speed_10m, wind_gusts_kmh as wind_gusts_10m, cloud_cover_pct as cloud_cover,
+    wmo_weather_code::double as weather_code, 'UTC' as timezone, year(weather_hour)::int as year, month(weather_hour)::int as month from weather
+    union all select 'rejected', null, null, null, null, null, null, null, null, reason, null, null from (values ('month'), ('payload')) r(reason)""")
+def i15_streamed_weather(t: Tables) -> DataFrame:
+    """Payloads landed as files and streamed to bronze, beside one that is no payload and one without a month, which are set aside."""
+    def write() -> str:
+        root = scratch_path(t.spark, "streamed")
+        payloads, hubs = _payloads(t)
+        named = payloads.select(F.format_string("weather_%d_%d.json", "year", "month").alias("name"), F.to_json("responses").alias("value"))
+        bad = t.spark.range(1).select(F.inline(F.array(
+            F.struct(F.lit("weather_1999_1.json").alias("name"), F.lit("no payload").alias("value")),
+            F.struct(F.lit("weather.json").alias("name"), F.lit("[]").alias("value")))))
+        _land_texts(named.union(bad), f"{root}/landing")
+        stream_weather(t.spark, f"{root}/landing", root, f"{root}/state", hubs).awaitTermination()
+        return root
+
+    root = t.once("streamed-weather", write)
+    rows = read_bronze(t.spark, root, "weather").drop("_ingested_at")
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema]
+    named = {"airport_code": F.lit("rejected").alias("airport_code"), "timezone": F.col("reason").alias("timezone")}
+    aside = rejects.reject_counts(rejects.read_rejects(t.spark, root, "weather"))
+    return rows.union(aside.select(*[named.get(f.name, column) for f, column in zip(rows.schema, nothing)]))
+
+
 def _lake_flights(t: Tables) -> DataFrame:
     day = F.col("flight_date").cast("date")
     return t.bronze_flights().withColumns({
