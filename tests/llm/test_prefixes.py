@@ -66,7 +66,7 @@ def rows():
     return out
 
 
-@pytest.mark.parametrize("shard_turns", [prefixes.SHARD_TURNS, 150, 20])
+@pytest.mark.parametrize("shard_turns", [prefixes.SHARD_TURNS, 40])
 def test_trie_by_hand(spark, rows, shard_turns):
     expected = sorted(by_hand(rows), key=lambda r: tuple((v is not None, v) for v in r))
     assert found(spark, rows, shard_turns=shard_turns) == expected
