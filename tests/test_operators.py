@@ -156,3 +156,24 @@ def test_cancelled_flights_that_arrived_are_found(spark):
     rows = [(True, None, None), (True, 3.0, None), (True, None, False), (False, 3.0, True), (None, 1.0, True)]
     facts = spark.createDataFrame(rows, "is_cancelled boolean, arr_delay_min double, is_arr_delayed boolean")
     assert summary(facts, quality.arrival_after_cancellation()).first() == (5, 2)
+
+
+def test_latest_where_repeated_is_latest_by_and_moves_few_rows(spark, facts, monkeypatch):
+    df, _ = facts
+    nulls = spark.createDataFrame([(None, 1, -1), (None, 2, -2), ("once", 3, -3)], df.schema)
+    rows, order = df.union(nulls), [F.desc("value"), F.desc("id")]
+
+    def listed(kept):
+        return sorted(map(str, kept.collect()))
+
+    for keys in (["key"], ["key", "value"], ["id"]):
+        assert listed(op.latest_where_repeated(rows, keys, order)) == listed(op.latest_by(rows, keys, order))
+        with monkeypatch.context() as few:  # slots shared by chance change nothing
+            few.setattr("tarmac.operators.dedup.SLOTS", 64)
+            assert listed(op.latest_where_repeated(rows, keys, order)) == listed(op.latest_by(rows, keys, order))
+    single = spark.range(5000).selectExpr("id as key", "repeat('x', 100) as text").union(
+        spark.range(3).selectExpr("id as key", "'y' as text"))
+    moved = op.latest_where_repeated(single.repartition(3), ["key"], [F.desc("text")])
+    assert moved.count() == 5000 and moved.filter("text = 'y'").count() == 3
+    plan = moved._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1 and "bitmap_construct_agg" in plan
