@@ -177,3 +177,10 @@ def test_latest_where_repeated_is_latest_by_and_moves_few_rows(spark, facts, mon
     assert moved.count() == 5000 and moved.filter("text = 'y'").count() == 3
     plan = moved._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Window [") == 1 and "bitmap_construct_agg" in plan
+
+
+def test_keys_behind_few_hashes_are_combined_before_they_move(spark):
+    rows = spark.range(0, 4000, 1, 4).selectExpr("cast(id % 700 as string) as flight_id").union(
+        spark.createDataFrame([("once",), (None,), (None,)], "flight_id string"))
+    again, mark = quality.repeated_keys(rows, "flight_id")
+    assert again == 700 and mark[0] == 4001
