@@ -28,6 +28,7 @@ from tarmac.operators import fits_broadcast
 from tarmac.plans import ingest, marts, quality, star
 from tarmac.plans.staging import stg_flights, stg_weather
 from tarmac.schemas import BRONZE_FLIGHTS, BRONZE_WEATHER
+from tarmac.session import side_by_side
 from tarmac.sources import landing as landed
 from tarmac.sources import seeds
 from tarmac.sources.lake import MARTS, bronze_path, month_stamps, read_bronze
@@ -77,18 +78,17 @@ class Lake:
     def _folder(self, layer: str, name: str) -> str:
         return f"{table_path(self.root, layer, name)}/build={self.snapshot.build}"
 
-    def write(self, df: DataFrame, layer: str, name: str, day: str, spread: bool = False) -> None:
+    def write(self, df: DataFrame, layer: str, name: str, day: str) -> None:
         """The rebuilt months of a table; a month without rows is gone from it.
 
-        ``spread`` says that every task holds rows of all months, which are then brought together.
+        Rows come by month, as bronze and what is made of it lie, so no row moves for the layout.
         """
         rows = df.select("*", month_number(day).alias(MONTH))
-        if spread:
-            rows = rows.hint("rebalance", MONTH)
         written: list[int] = []
         if self.months:
             folder = self._folder(layer, name)
-            rows.write.mode("overwrite").partitionBy(MONTH).parquet(folder)
+            with side_by_side(self.spark):
+                rows.write.mode("overwrite").option("compression", "zstd").partitionBy(MONTH).parquet(folder)
             written = partition_months(self.spark, folder)
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema])
         entries, build = self.snapshot.entries, self.snapshot.build
@@ -116,7 +116,7 @@ def build_silver(lake: Lake) -> None:
     weather = lake.bronze("weather")
     small = fits_broadcast(weather.select("airport_code", "weather_time"))
     flights = star.int_flights_weather(stg_flights(lake.bronze("flights")), stg_weather(weather), small)
-    lake.write(flights, "silver", "int_flights_weather", "flight_date", spread=True)
+    lake.write(flights, "silver", "int_flights_weather", "flight_date")
 
 
 def _together(*steps: Callable[[], None]) -> None:

@@ -20,7 +20,7 @@ from tarmac.plans import ingest, refresh, rejects
 from tarmac.registry.binding import Tables, airport_code
 from tarmac.registry.book import query
 from tarmac.schemas import EXTRACT_COLUMNS, WEATHER_VARIABLES
-from tarmac.session import scratch_path
+from tarmac.session import scratch_path, side_by_side
 from tarmac.sources import landing as landed
 from tarmac.sources import seeds
 from tarmac.sources.lake import MARTS, adopt_bronze, bronze_path, read_bronze, read_marts, write_month_partitions
@@ -74,7 +74,8 @@ def s02_extract_csv(t: Tables) -> DataFrame:
         path = scratch_path(t.spark, "extract")
         day = F.to_date(F.concat_ws("-", "Year", "Month", "DayofMonth"), "y-M-d")
         named = _extract(t).withColumn("_file", F.date_format(day, "'on_time_'yyyy_M")).drop("_source_file")
-        named.write.partitionBy("_file").option("header", True).option("escape", '"').csv(path)
+        with side_by_side(t.spark):
+            named.write.partitionBy("_file").option("header", True).option("escape", '"').csv(path)
         return path
 
     path = t.once("extract-csv", write)
@@ -167,8 +168,9 @@ def s06_drifting_bronze(t: Tables) -> DataFrame:
             {c: F.col(c).cast("int") for c in ("crs_dep_time", "dep_time")} | {"dep_delay": F.col("dep_delay").cast("float")},
         ]
         for i, drift in enumerate(drifts):
-            rows.filter(whole == i).withColumns(drift).write.mode("append").partitionBy("year", "month").parquet(
-                bronze_path(source, "flights"))
+            with side_by_side(t.spark):
+                rows.filter(whole == i).withColumns(drift).write.mode("append").partitionBy("year", "month").parquet(
+                    bronze_path(source, "flights"))
         adopt_bronze(t.spark, source, lake, "flights")
         return lake
 
@@ -368,7 +370,7 @@ def s04_bronze_partitions(t: Tables) -> DataFrame:
     """Bronze written by month to the shared folder and scanned back."""
     def write() -> str:
         lake = scratch_path(t.spark, "bronze")
-        write_month_partitions(_lake_flights(t), bronze_path(lake, "flights"))
+        write_month_partitions(_lake_flights(t), bronze_path(lake, "flights"), by_month=True)
         return lake
 
     return read_bronze(t.spark, t.once("bronze-lake", write), "flights").groupBy("year", "month").agg(
@@ -395,10 +397,10 @@ def _built_lake(t: Tables) -> str:
 def _build_lake(t: Tables) -> str:
     lake, flights = scratch_path(t.spark, "lake"), _lake_flights(t)
     first = _of_first_month(t)
-    write_month_partitions(flights.filter(first), bronze_path(lake, "flights"))
+    write_month_partitions(flights.filter(first), bronze_path(lake, "flights"), by_month=True)
     write_month_partitions(_lake_weather(t), bronze_path(lake, "weather"))
     refresh.build(t.spark, lake, t.carriers(), t.hubs())
-    write_month_partitions(flights.filter(~first), bronze_path(lake, "flights"))
+    write_month_partitions(flights.filter(~first), bronze_path(lake, "flights"), by_month=True)
     refresh.build(t.spark, lake, t.carriers(), t.hubs())
     return lake
 
@@ -407,11 +409,11 @@ def _corrected_lake(t: Tables) -> str:
     """A lake whose first month is replaced after the build, without the flights of eight airports."""
     def build() -> str:
         lake, flights = scratch_path(t.spark, "corrected"), _lake_flights(t)
-        write_month_partitions(flights, bronze_path(lake, "flights"))
+        write_month_partitions(flights, bronze_path(lake, "flights"), by_month=True)
         write_month_partitions(_lake_weather(t), bronze_path(lake, "weather"))
         refresh.build(t.spark, lake, t.carriers(), t.hubs())
         corrected = flights.filter(_of_first_month(t) & (F.col("origin") >= "A08"))
-        write_month_partitions(corrected, bronze_path(lake, "flights"))
+        write_month_partitions(corrected, bronze_path(lake, "flights"), by_month=True)
         refresh.build(t.spark, lake, t.carriers(), t.hubs())
         return lake
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarmac.schemas import BRONZE_FLIGHTS, BRONZE_WEATHER
+from tarmac.session import side_by_side
 from tarmac.sources.footers import files_by_schema
 from tarmac.sources.versions import drop_path, read_snapshot, read_version
 
@@ -25,21 +26,26 @@ def bronze_path(lake: str, name: str) -> str:
     return f"{lake}/bronze/{name}"
 
 
-def write_month_partitions(df: DataFrame, path: str, emptied: Collection[tuple[int, int]] = ()) -> None:
+def write_month_partitions(
+    df: DataFrame, path: str, emptied: Collection[tuple[int, int]] = (), by_month: bool = False,
+) -> None:
     """Replace the months found in ``df``; other months stay, except those of ``emptied`` that ``df`` has no row of.
 
     Rows are brought together by month; a large month is split into several files, a month
-    in one unsplittable extract included. Folder names keep the zero-padded month.
+    in one unsplittable extract included. ``by_month`` says that the rows come by month already, as from bronze:
+    a task then writes what it holds, and no row moves. Folder names keep the zero-padded month.
     """
     spark = df.sparkSession
     before = month_stamps(spark, path) if emptied else {}
     padded = df.withColumn("month", F.lpad(F.col("month").cast("string"), 2, "0"))
-    (
-        padded.hint("rebalance", "year", "month").write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("year", "month")
-        .parquet(path)
-    )
+    with side_by_side(spark):
+        (
+            (padded if by_month else padded.hint("rebalance", "year", "month")).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("compression", "zstd")
+            .partitionBy("year", "month")
+            .parquet(path)
+        )
     if before:
         after = month_stamps(spark, path)
         for year, month in emptied:
@@ -91,7 +97,7 @@ def adopt_bronze(spark: SparkSession, source: str, lake: str, name: str) -> None
              else spark.read.option("basePath", root).parquet(*paths) for columns, paths in files_by_schema(files)]
     rows = reduce(
         lambda a, b: a.unionByName(b, allowMissingColumns=True), [conform(scan, BRONZE[name]) for scan in scans])
-    write_month_partitions(rows, bronze_path(lake, name))
+    write_month_partitions(rows, bronze_path(lake, name), by_month=True)
 
 
 def conform(df: DataFrame, contract: T.StructType) -> DataFrame:

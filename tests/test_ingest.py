@@ -277,3 +277,20 @@ def test_streamed_weather_equals_the_batch_load(spark, tmp_path, rows):
     assert january.count() == 24 and january.select("temperature_2m").distinct().collect() == [(5.0,)]
     later = rejects.read_rejects(spark, own, "weather").filter("faults[0].reason = 'later'").collect()
     assert [r.source_file for r in later] == ["fix_b_2025_1.json"]
+
+
+def test_months_that_come_by_month_are_written_without_a_shuffle_or_sort(spark, tmp_path):
+    from tarmac.session import SIDE_BY_SIDE, side_by_side
+
+    rows = spark.range(40).selectExpr("id", "2025 as year", "cast(id % 2 + 1 as int) as month").coalesce(1)
+    with side_by_side(spark):
+        with side_by_side(spark):
+            pass
+        assert int(spark.conf.get(SIDE_BY_SIDE)) >= 4
+    before = spark.conf.get(SIDE_BY_SIDE, None)
+    lake.write_month_partitions(rows, str(tmp_path / "t"), by_month=True)
+    assert spark.conf.get(SIDE_BY_SIDE, None) == before
+    assert sorted(p.name for p in (tmp_path / "t").glob("*/*")) == ["month=01", "month=02"]
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 40
+    lake.write_month_partitions(rows.filter("month = 2 and id < 10"), str(tmp_path / "t"), by_month=True)
+    assert spark.read.parquet(str(tmp_path / "t")).groupBy("month").count().orderBy("month").collect() == [(1, 20), (2, 5)]
