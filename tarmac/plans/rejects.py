@@ -94,8 +94,11 @@ def payload_faults() -> Column:
 
 
 def hidden(spark: SparkSession, paths: Collection[str]) -> DataFrame:
-    """A row for each plain extract that a zipped one hides."""
-    files = spark.createDataFrame([(p,) for p in sorted(paths)], "path string")
+    """A row for each plain extract that a zipped one hides; one landed as several files of its name is one, with all paths."""
+    by_name: dict[str, list[str]] = {}
+    for p in sorted(paths):
+        by_name.setdefault(p.rsplit("/", 1)[-1], []).append(p)
+    files = spark.createDataFrame([(",".join(found),) for found in by_name.values()], "path string")
     return files.select(
         F.array(F.struct(F.lit("hidden").alias("reason"), F.lit("_source_file").alias("field"),
                          F.col("path").alias("value"))).alias("faults"),

@@ -11,7 +11,7 @@ from datetime import date
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import csv
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,36 +84,52 @@ def s02_extract_csv(t: Tables) -> DataFrame:
                        "dep_time", "distance", "cancelled", "late_aircraft_delay")
 
 
-def _land(extract: DataFrame, folder: str) -> None:
-    """The rows of every ``_file`` as one zipped or plain extract of that name, streamed by the task that has them."""
+#: Rows of a landed file at most, about what a month of real flights has; more make further files of the name.
+_LANDED_ROWS = 500_000
+
+
+def _land(extract: DataFrame, folder: str, most: int = _LANDED_ROWS) -> None:
+    """The rows of every ``_file`` as zipped or plain extracts of that name, streamed by the tasks that have them.
+
+    Each lies in a folder of its own, named by the task and counted, so a large month is many files that no task has
+    to write or read alone.
+    """
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     names = [c for c in extract.columns if c != "_file"]
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with ExitStack() as open_files:
-            name, writer = None, None
+        task, counted = TaskContext.get().partitionId(), 0
+        with ExitStack() as all_files:
+            files: dict[str, tuple[ExitStack, csv.CSVWriter, int]] = {}
             for batch in batches:
-                for part in pa.Table.from_batches([batch]).group_by("_file", use_threads=False).aggregate([]).column(0).to_pylist():
+                for part in pc.unique(batch.column("_file")).to_pylist():
                     rows = batch.filter(pc.equal(batch.column("_file"), part)).select(names)
-                    if part != name:
-                        open_files.close()
-                        name, system, path = part, *stored(f"{folder}/{part}")
-                        target = open_files.enter_context(system.open_output_stream(path))
+                    if part not in files:
+                        own = all_files.enter_context(ExitStack())
+                        system, path = stored(f"{folder}/part-{task}-{counted}/{part}")
+                        system.create_dir(path.rsplit("/", 1)[0], recursive=True)
+                        target = own.enter_context(system.open_output_stream(path))
                         if part.endswith(".zip"):
-                            archive = open_files.enter_context(zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED))
-                            target = open_files.enter_context(archive.open(part.replace(".zip", ".csv"), "w", force_zip64=True))
-                        writer = open_files.enter_context(csv.CSVWriter(target, rows.schema))
+                            archive = own.enter_context(zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED))
+                            target = own.enter_context(archive.open(part.replace(".zip", ".csv"), "w", force_zip64=True))
+                        files[part] = own, own.enter_context(csv.CSVWriter(target, rows.schema)), 0
+                        counted += 1
+                    own, writer, written = files[part]
                     writer.write_batch(rows)
+                    files[part] = own, writer, written + rows.num_rows
+                    if written + rows.num_rows >= most:
+                        own.close()
+                        del files[part]
         yield pa.RecordBatch.from_pydict({"written": pa.array([], pa.string())})
 
     system, path = stored(folder)
     system.create_dir(path, recursive=True)
-    extract.repartition("_file").sortWithinPartitions("_file").mapInArrow(write, "written string").count()
+    extract.mapInArrow(write, "written string").count()
 
 
 @query(_ROWS.replace("tail_number,", "nullif(tail_number, '') as tail_number,"))
 def s01_extract_zip(t: Tables) -> DataFrame:
-    """The extract landed as one archive a month, read back through the data source, to bronze."""
+    """The extract landed as archives by month, read back through the data source, to bronze."""
     def write() -> str:
         path = scratch_path(t.spark, "archives")
         _land(_extract(t).withColumnRenamed("_source_file", "_file"), path)

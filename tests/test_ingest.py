@@ -279,6 +279,33 @@ def test_streamed_weather_equals_the_batch_load(spark, tmp_path, rows):
     assert [r.source_file for r in later] == ["fix_b_2025_1.json"]
 
 
+def test_a_month_lands_as_many_files_of_its_name(spark, rows, tmp_path):
+    from tarmac.registry.ingestion import _land
+    from tarmac.schemas import RAW_EXTRACT
+
+    lines = [extract_line(2025, 3, 1 + i % 20) | {"_file": f"on_time_2025_{3 + i % 2}.zip"} for i in range(90)]
+    columns = [c for c in RAW_EXTRACT.names if c != "_source_file"] + ["_file"]
+    landed_rows = spark.createDataFrame([tuple(str(line[c]) for c in columns) for line in lines], ", ".join(f"{c} string" for c in columns))
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    own = spark.conf.get(batch)
+    spark.conf.set(batch, "5")
+    try:
+        _land(landed_rows.repartition(3), str(tmp_path / "in"), most=10)
+    finally:
+        spark.conf.set(batch, own)
+    found = zips.archives([str(tmp_path / "in")])
+    assert len(found) > 6 and {f.rsplit("/", 1)[-1] for f in found} == {"on_time_2025_3.zip", "on_time_2025_4.zip"}
+    back = landing.read_extract_zip(spark, str(tmp_path / "in"))
+    assert rows(back.withColumnRenamed("_source_file", "_file"), *columns) == rows(landed_rows, *columns)
+
+
+def test_a_hidden_extract_in_several_files_is_one(spark, rows):
+    kept = rejects.hidden(spark, ["/in/a/on_time_2025_3.csv", "/in/b/on_time_2025_3.csv", "/in/on_time_2025_4.csv"])
+    assert rows(rejects.reject_counts(kept), "source_file", "rows") == [
+        ("on_time_2025_3.csv", 1), ("on_time_2025_4.csv", 1)]
+    assert "/in/a/on_time_2025_3.csv,/in/b/on_time_2025_3.csv" in {r.faults[0].value for r in kept.collect()}
+
+
 def test_months_that_come_by_month_are_written_without_a_shuffle_or_sort(spark, tmp_path):
     from tarmac.session import SIDE_BY_SIDE, side_by_side
 
