@@ -16,7 +16,7 @@ replace the caller's. A long text is a chunk of its own, in memory some tens of
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -180,30 +180,21 @@ class Encoder:
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
 
 
-def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """``docs`` with a column ``ids``: the tokens of every whole text.
+Batches = Iterator[pa.RecordBatch]
 
-    ``path`` names a tokenizer file the driver can read; the vocabulary, whose size does not
-    depend on the data, travels to the tasks with the function.
-    """
-    vocabulary = Vocabulary(path)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _encoding(vocabulary: Vocabulary, text: str) -> Callable[[Batches], Batches]:
+    def run(batches: Batches) -> Batches:
         encoder = Encoder(vocabulary)
         for batch, texts in chunks(batches, text):
             ids = encoder.encode([t.decode() for t in texts])
             yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*batch.schema.names, "ids"])
 
-    kept = docs.drop("ids")
-    return kept.mapInArrow(run, widened(kept, ids="array<int>"))
-
+    return run
 
-def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """``encoded`` with a column ``decoded``: the text its ``ids`` stand for."""
-    vocabulary = Vocabulary(path)
-    kept = encoded.drop("decoded")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _decoding(vocabulary: Vocabulary) -> Callable[[Batches], Batches]:
+    def run(batches: Batches) -> Batches:
         for batch in batches:
             step = max(1, batch.num_rows * (1 << 19) // max(1, len(batch.column("ids").values)))
             for first in range(0, batch.num_rows, step):
@@ -214,12 +205,39 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())],
                                                  names=[*part.schema.names, "decoded"])
 
-    return kept.mapInArrow(run, widened(kept, decoded="string"))
+    return run
+
+
+def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """``docs`` with a column ``ids``: the tokens of every whole text.
+
+    ``path`` names a tokenizer file the driver can read; the vocabulary, whose size does not
+    depend on the data, travels to the tasks with the function.
+    """
+    kept = docs.drop("ids")
+    return kept.mapInArrow(_encoding(Vocabulary(path), text), widened(kept, ids="array<int>"))
+
+
+def decode(encoded: DataFrame, path: str) -> DataFrame:
+    """``encoded`` with a column ``decoded``: the text its ``ids`` stand for."""
+    kept = encoded.drop("decoded")
+    return kept.mapInArrow(_decoding(Vocabulary(path)), widened(kept, decoded="string"))
+
+
+def round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """``decode`` of ``encode``, without the text: one Python worker a task does both, and ids pass from one to the other."""
+    vocabulary, kept = Vocabulary(path), docs.drop("ids", "decoded")
+
+    def run(batches: Batches) -> Batches:
+        ids = (batch.drop_columns([text]) for batch in _encoding(vocabulary, text)(batches))
+        yield from _decoding(vocabulary)(ids)
+
+    return kept.mapInArrow(run, widened(kept.drop(text), ids="array<int>", decoded="string"))
 
 
 def digests(docs: DataFrame, path: str, *keys: str) -> DataFrame:
     """Per row of ``docs`` its ``keys``, the number of tokens, and digests of the ids and of the decoded text."""
-    coded = decode(encode(docs.select(*keys, "text"), path).select(*keys, "ids"), path)
+    coded = round_trip(docs.select(*keys, "text"), path)
     return coded.select(
         *keys,
         F.size("ids").cast("long").alias("n_tokens"),

@@ -53,3 +53,14 @@ def test_digests_and_round_trip(documents, odd, prose):
     back = bpe.decode(bpe.encode(docs, PATH), PATH).select("text", "decoded").collect()
     assert all((r.text or "") == r.decoded for r in back)
     assert bpe.digests(documents([]).limit(0), PATH, "doc_id").count() == 0
+
+
+def test_both_ways_in_one_worker_a_task(spark):
+    docs = spark.createDataFrame(
+        [(1, "Hello wörld  the 123"), (2, None), (3, ""), (4, "aaa " * 500), (1, "again")], "doc_id long, text string")
+    path = tokenizer_path()
+    apart = bpe.decode(bpe.encode(docs, path).drop("text"), path)
+    both = bpe.round_trip(docs, path)
+    assert both.columns == apart.columns and sorted(map(str, both.collect())) == sorted(map(str, apart.collect()))
+    plan = bpe.digests(docs, path, "doc_id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
