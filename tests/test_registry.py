@@ -57,3 +57,45 @@ def test_the_quality_report_scans_each_large_table_few_times(spark):
     df = contract.queries()["q12_quality_report"](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") <= 22 and plan.count("silver-") <= 6
+
+
+class DoubledWeather(Tables):
+    def stg_weather(self):
+        return super().stg_weather().union(super().stg_weather())
+
+
+class LostFlight(Tables):
+    def int_flights_weather(self, *flights):
+        return super().int_flights_weather(*flights).filter("flight_number <> '3'")
+
+
+def few_rows(spark, folder):
+    """Ten flights from one airport on one day, and its weather of every hour."""
+    rows = {
+        "nation": spark.range(2).selectExpr("cast(id as int) as n_nationkey", "concat('N', id) as n_name", "0 as n_regionkey"),
+        "customer": spark.range(1).selectExpr("id as c_custkey", "1 as c_nationkey"),
+        "supplier": spark.range(1).selectExpr("id as s_suppkey", "0 as s_nationkey"),
+        "orders": spark.range(1, 11).selectExpr("id as o_orderkey", "0L as o_custkey"),
+        "lineitem": spark.range(1, 11).selectExpr(
+            "id as l_orderkey", "1L as l_linenumber", "0L as l_suppkey", "1L as l_partkey", "timestamp_ntz '1995-01-01' as l_shipdate",
+            "50D as l_quantity", "1000D as l_extendedprice"),
+        "events": spark.range(24).selectExpr(
+            "id as event_id", "0L as user_id", "make_timestamp_ntz(2024, 1, 1, cast(id as int), 0, 0) as ts", "'view' as event_type",
+            "1D as value"),
+    }
+    for name, df in rows.items():
+        df.write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("kind, rows, repeated", [(Tables, 10, 0), (DoubledWeather, 20, 10), (LostFlight, 9, 0)])
+def test_the_quality_report_holds_the_facts_against_the_staged_flights(spark, tmp_path, kind, rows, repeated):
+    from tarmac.plans import quality
+    from tarmac.registry.models import _checked_tables
+
+    tables = _checked_tables(kind(spark, few_rows(spark, tmp_path)))
+    assert tables["stg_flights"].count() == 10 and tables["fct_flights"].count() == rows
+    found = {(r.check_name, r.table_name): r.violations for r in quality.report(tables).filter(
+        "check_name in ('unique', 'same_row_count') and table_name in ('stg_flights', 'fct_flights')").collect()}
+    assert found == {
+        ("unique", "stg_flights"): 0, ("unique", "fct_flights"): repeated, ("same_row_count", "fct_flights"): int(rows != 10)}
