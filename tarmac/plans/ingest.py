@@ -13,6 +13,7 @@ from tarmac.functions import hhmm_number, missing_to_null, strip_all
 from tarmac.operators import zip_arrays
 from tarmac.plans import rejects
 from tarmac.schemas import EXTRACT_COLUMNS, WEATHER_VARIABLES
+from tarmac.session import compiled
 from tarmac.sources import landing as landed
 from tarmac.sources.lake import bronze_path, month_stamps, present_months, read_bronze, write_month_partitions
 from tarmac.sources.seeds import hub_order
@@ -26,14 +27,16 @@ def rebuilt_date(year: Column, month: Column, day: Column) -> Column:
 
 
 def bronze_flights(raw: DataFrame) -> DataFrame:
-    """Raw text rows of the extracts in bronze names, order and types.
+    """Raw text rows of the extracts, or parsed ones, in bronze names, order and types.
 
     The partition is the month of the file, so a stray date cannot replace another month.
     """
+    texts = {name for name, kind in raw.dtypes if kind == "string"}
+
     def clean(source: str, kind: str) -> Column:
         if source == "FlightDate":
             return rebuilt_date(F.col("Year"), F.col("Month"), F.col("DayofMonth"))
-        text = missing_to_null(F.col(source))
+        text = missing_to_null(F.col(source)) if source in texts else F.col(source)
         if source == "Flight_Number_Reporting_Airline":
             return strip_all(text)
         if kind == "smallint":
@@ -107,14 +110,14 @@ def pending_months(available: DataFrame, present: DataFrame, force: bool = False
 # --- loads ----------------------------------------------------------------------------------
 
 
-def _load(bronze: DataFrame, lake: str, name: str, files: list[Row]) -> int:
+def _load(bronze: DataFrame, lake: str, name: str, files: list[Row], by_month: bool = False) -> int:
     """Replace the months of these files, also those without any row left; returns the rows now in them.
 
     Rows are counted in the written footers: a count taken on the way would include
     the rows of tasks that a lost executor made run twice.
     """
     months = sorted({(f.year, f.month) for f in files})
-    write_month_partitions(bronze, bronze_path(lake, name), emptied=months)
+    write_month_partitions(bronze, bronze_path(lake, name), emptied=months, by_month=by_month)
     if not month_stamps(bronze.sparkSession, bronze_path(lake, name)):
         return 0
     written = read_bronze(bronze.sparkSession, lake, name)
@@ -193,18 +196,19 @@ def _read_extracts(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def load_flights(spark: SparkSession, lake: str, files: list[Row]) -> int:
-    """Load the listed extracts; returns rows written."""
+    """Load the listed extracts; returns rows written. A task reads few of them, each of one month, and writes what it reads."""
     if not files:
         return 0
-    raw, seen = rejects.marked(_read_extracts(spark, [f.path for f in files])), Observation()
-    rows = _load(bronze_flights(rejects.accepted(counted(raw, seen))), lake, "flights", files)
-    set_aside(spark, raw, seen, lake, [f.path.rsplit("/", 1)[-1] for f in files])
+    raw, seen = _read_extracts(spark, [f.path for f in files]), Observation()
+    with compiled(spark):
+        rows = _load(bronze_flights(rejects.accepted(counted(rejects.parsed(raw), seen))), lake, "flights", files, by_month=True)
+    set_aside(spark, rejects.marked(raw), seen, lake, [f.path.rsplit("/", 1)[-1] for f in files])
     return rows
 
 
 def counted(raw: DataFrame, seen: Observation) -> DataFrame:
     """The marked rows; the write that follows also sees whether any is rejected."""
-    return raw.observe(seen, F.count_if(F.size("_faults") > 0).alias("rejected"))
+    return raw.observe(seen, F.count_if("_faulty").alias("rejected"))
 
 
 def set_aside(spark: SparkSession, raw: DataFrame, seen: Observation, lake: str, files: list[str] | None) -> None:

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tarmac.functions import missing_to_null
 from tarmac.schemas import EXTRACT_COLUMNS, EXTRACT_DATE_PARTS, EXTRACT_WANTED, WEATHER_PAYLOAD, WEATHER_VARIABLES
+from tarmac.session import compiled
 from tarmac.sources import landing as landed
 from tarmac.sources.versions import drop_path
 
@@ -40,36 +41,54 @@ def _fault(reason: str, field: str, broken: Column, value: Column) -> Column:
     return F.when(F.coalesce(broken, F.lit(False)), found)
 
 
-def faults(raw: DataFrame) -> Column:
-    """What keeps a raw row of an extract out of bronze; an empty array if nothing does."""
+def _rules() -> list[tuple[str, str, Column, Column]]:
+    """What may be wrong with a raw row of an extract: reason, column, whether it is, and the text that gives it."""
     year, _ = landed.month_of(F.col("_source_file"))
     parts = [F.col(c).try_cast("double").cast("int") for c in EXTRACT_DATE_PARTS]
     day = F.concat_ws("-", *[F.col(c) for c in EXTRACT_DATE_PARTS])
-    no_date = F.try_to_date(F.concat_ws("-", *parts), "y-M-d").isNull()
-    found = [_fault("month", "_source_file", year.isNull(), F.col("_source_file")), _fault("date", "FlightDate", no_date, day)]
+    # The days that every month has need no parser.
+    sure = F.coalesce(parts[0].between(1, 9999) & parts[1].between(1, 12) & parts[2].between(1, 28), F.lit(False))
+    no_date = ~sure & F.try_to_date(F.concat_ws("-", *parts), "y-M-d").isNull()
+    rules = [("month", "_source_file", year.isNull(), F.col("_source_file")), ("date", "FlightDate", no_date, day)]
     for source, _, kind in EXTRACT_COLUMNS:
         text = missing_to_null(F.col(source))
         number = text.try_cast("double")
         if kind == "double":
-            found.append(_fault("number", source, text.isNotNull() & number.isNull(), F.col(source)))
+            rules.append(("number", source, text.isNotNull() & number.isNull(), F.col(source)))
         elif kind == "smallint":
-            found.append(_fault("range", source, F.abs(F.rint(number)) > CLOCK_BOUND, F.col(source)))
-    return F.filter(F.array(*found), lambda f: f.isNotNull())
+            rules.append(("range", source, F.abs(F.rint(number)) > CLOCK_BOUND, F.col(source)))
+    return rules
+
+
+def faults(raw: DataFrame) -> Column:
+    """What keeps a raw row of an extract out of bronze; an empty array if nothing does."""
+    return F.filter(F.array(*[_fault(*rule) for rule in _rules()]), lambda f: f.isNotNull())
+
+
+def faulty(raw: DataFrame) -> Column:
+    """Whether there are any: most rows have none, and this is compiled, where the array is interpreted."""
+    return F.greatest(*[F.coalesce(broken, F.lit(False)) for _, _, broken, _ in _rules()])
 
 
 def marked(raw: DataFrame) -> DataFrame:
-    return raw.withColumn("_faults", faults(raw))
+    return raw.withColumn("_faulty", faulty(raw))
+
+
+def parsed(raw: DataFrame) -> DataFrame:
+    """The marked rows with numbers for their texts, NULL where missing or broken: bronze need not look at them again."""
+    numbers = {c: missing_to_null(F.col(c)).try_cast("double") for c, _, kind in EXTRACT_COLUMNS if kind != "string"}
+    return raw.select(*[numbers.get(c, F.col(c)).alias(c) for c in raw.columns], faulty(raw).alias("_faulty"))
 
 
 def accepted(rows: DataFrame) -> DataFrame:
     """The marked rows that bronze takes."""
-    return rows.filter(F.size("_faults") == 0).drop("_faults")
+    return rows.filter(~F.col("_faulty")).drop("_faulty")
 
 
 def rejected(rows: DataFrame) -> DataFrame:
     """The other marked rows: what is wrong, the whole raw row as JSON, and its file."""
-    return rows.filter(F.size("_faults") > 0).select(
-        F.col("_faults").alias("faults"), F.to_json(F.struct(*EXTRACT_WANTED)).alias("line"),
+    return rows.filter("_faulty").select(
+        faults(rows).alias("faults"), F.to_json(F.struct(*EXTRACT_WANTED)).alias("line"),
         F.current_timestamp().alias("rejected_at"), F.col("_source_file").alias("source_file"))
 
 
@@ -113,8 +132,9 @@ def write_rejects(rows: DataFrame | None, lake: str, name: str, spark: SparkSess
         for folder in _folders(spark, path, files):
             drop_path(spark, folder)
     if rows is not None:
-        rows.hint("rebalance", "source_file").write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic").partitionBy("source_file").parquet(path)
+        with compiled(spark):
+            rows.hint("rebalance", "source_file").write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic").partitionBy("source_file").parquet(path)
 
 
 def _folders(spark: SparkSession, path: str, files: Collection[str]) -> list[str]:

@@ -19,6 +19,8 @@ MARTS = [
     "mart_kpis_monthly", "mart_carrier_monthly", "mart_airport_daily", "mart_route_monthly",
     "mart_delay_causes_monthly", "mart_weather_impact", "mart_hourly_profile",
 ]
+#: Rows of a written file at most, several months of real flights.
+FILE_ROWS = 2_000_000
 BRONZE = {"flights": BRONZE_FLIGHTS, "weather": BRONZE_WEATHER}
 
 
@@ -32,8 +34,8 @@ def write_month_partitions(
     """Replace the months found in ``df``; other months stay, except those of ``emptied`` that ``df`` has no row of.
 
     Rows are brought together by month; a large month is split into several files, a month
-    in one unsplittable extract included. ``by_month`` says that the rows come by month already, as from bronze:
-    a task then writes what it holds, and no row moves. Folder names keep the zero-padded month.
+    in one unsplittable extract included. ``by_month`` says that the rows come by month already, as from bronze or extracts:
+    a task then writes what it holds, in files of so many rows, and no row moves. Folder names keep the zero-padded month.
     """
     spark = df.sparkSession
     before = month_stamps(spark, path) if emptied else {}
@@ -43,6 +45,7 @@ def write_month_partitions(
             (padded if by_month else padded.hint("rebalance", "year", "month")).write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .option("compression", "zstd")
+            .option("maxRecordsPerFile", FILE_ROWS)
             .partitionBy("year", "month")
             .parquet(path)
         )

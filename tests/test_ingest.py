@@ -321,3 +321,37 @@ def test_months_that_come_by_month_are_written_without_a_shuffle_or_sort(spark,
     assert spark.read.parquet(str(tmp_path / "t")).count() == 40
     lake.write_month_partitions(rows.filter("month = 2 and id < 10"), str(tmp_path / "t"), by_month=True)
     assert spark.read.parquet(str(tmp_path / "t")).groupBy("month").count().orderBy("month").collect() == [(1, 20), (2, 5)]
+
+
+def test_rows_are_faulty_where_the_list_of_faults_is_not_empty(spark):
+    """By the whole list, dates by the parser alone; and numbers are those of the raw texts."""
+    from itertools import product
+
+    from tarmac.schemas import EXTRACT_COLUMNS, EXTRACT_DATE_PARTS, RAW_EXTRACT
+
+    texts = ["", "NA", "NaN", "nan", "-nan", "1.#IND", "ten", " 5 ", "5d", "-7.5", "inf", "1e400", "32767", "32767.6", "-40000", None]
+    dates = product(["0", "1", "99", "2024", "2023", "10000", "NA", None], ["0", "1", "2", "12", "13", "x"], ["0", "1", "28", "29", "30", "31", "32"])
+    plain = {c: "1" for c in RAW_EXTRACT.names} | {"Year": "2024", "_source_file": "on_time_2024_1.zip"}
+    rows = [plain | dict(zip(EXTRACT_DATE_PARTS, d)) for d in dates]
+    rows += [plain | {c: t} for t in texts for c, _, kind in EXTRACT_COLUMNS if kind != "string"] + [plain | {"_source_file": "extra.zip"}, plain]
+    raw = spark.createDataFrame([tuple(r[c] for c in RAW_EXTRACT.names) for r in rows], RAW_EXTRACT)
+    day = F.try_to_date(F.concat_ws("-", *[F.col(c).try_cast("double").cast("int") for c in EXTRACT_DATE_PARTS]), "y-M-d")
+    found = rejects.marked(raw).select("_faulty", F.size(rejects.faults(raw)) > 0, F.exists(rejects.faults(raw), lambda f: f.reason == "date"), day.isNull()).collect()
+    assert all(r[0] == r[1] and r[2] == r[3] for r in found) and 0 < sum(r[0] for r in found) < len(found)
+    whole = [ingest.bronze_flights(rejects.accepted(kind(raw))).drop("_ingested_at") for kind in (rejects.marked, rejects.parsed)]
+    assert whole[0].schema == whole[1].schema
+    assert sorted(map(str, whole[0].collect())) == sorted(map(str, whole[1].collect()))
+    assert rejects.rejected(rejects.marked(raw)).count() == sum(r[0] for r in found)
+
+
+def test_extracts_are_loaded_without_a_shuffle_and_in_several_files(spark, tmp_path, monkeypatch):
+    for month in (1, 2):
+        land_zip(tmp_path / "in", 2025, month, [extract_line(2025, month, 1 + i % 28, Flight_Number_Reporting_Airline=i) for i in range(60)])
+    monkeypatch.setattr(lake, "FILE_ROWS", 25)
+    own, used = lake.write_month_partitions, []
+    monkeypatch.setattr(ingest, "write_month_partitions", lambda df, *args, **how: (used.append((df, how)), own(df, *args, **how)))
+    assert ingest.ingest_flights(spark, str(tmp_path / "in"), str(tmp_path / "lake"), months(spark, (2025, 1), (2025, 2))) == 120
+    (df, how), = used
+    assert how["by_month"] and "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    for month in (1, 2):
+        assert len(list((tmp_path / "lake/bronze/flights/year=2025" / f"month=0{month}").glob("*.parquet"))) == 3
